@@ -33,7 +33,9 @@ def _residuals(spark, sf_dir):
 def daily_rollup(spark, sf_dir):
     """Daily sums and means, bad days bridged by interpolation."""
     day = fx.daily(fx.features(spark, sf_dir))
-    return _rounded(day, [*fx.COUNTS, *fx.WEATHER, "day_of_week"])
+    measured = [*fx.COUNTS, *fx.WEATHER, "day_of_week"]
+    # Means of few values end in a 5 at the seventh place often; move them off the tie.
+    return day.withColumns({c: F.round(F.col(c) + 1e-8, 6) for c in measured})
 
 
 def midnight_pick(spark, sf_dir):
@@ -432,7 +434,7 @@ ORACLES = {
     "daily_rollup": sql.panel(
         sql.DAILY,
         f"""SELECT user_id, day, data_set, workingday, weekend, bad_day, month,
-  {_round([*fx.COUNTS, *fx.WEATHER, 'day_of_week'])} FROM daily""",
+  {", ".join(f"round({c} + 1e-8, 6) AS {c}" for c in [*fx.COUNTS, *fx.WEATHER, 'day_of_week'])} FROM daily""",
     ),
     "midnight_pick": sql.panel(
         sql.GRID,

@@ -91,8 +91,18 @@ def gridded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    marked = grid.flag_bad_days(gridded(spark, sf_dir), KEYS, TS, "weather", MAX_MISSING)
-    repaired = gaps.repair(marked, KEYS, TS, LINEAR, ORDINALS, FLAGS)
+    """Complete, repaired hours; ``C_filled`` are the counts with gaps bridged."""
+    repaired = gaps.fill_grid(
+        tagged(spark, sf_dir),
+        KEYS,
+        TS,
+        LINEAR,
+        ORDINALS,
+        FLAGS,
+        probe="weather",
+        max_missing=MAX_MISSING,
+        also={c: f"{c}_filled" for c in COUNTS},
+    )
     return cal.override_flags(repaired, TS, OVERRIDES)
 
 
@@ -105,9 +115,8 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def daily(feats: DataFrame) -> DataFrame:
     """Daily sums and means; bad days bridged."""
-    filled = gaps.interpolate_time(feats, KEYS, TS, COUNTS)
     day = grid.daily_rollup(
-        filled,
+        feats.drop(*COUNTS).withColumnsRenamed({f"{c}_filled": c for c in COUNTS}),
         KEYS,
         TS,
         COUNTS,

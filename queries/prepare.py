@@ -105,6 +105,12 @@ def forward_fill_chunked(spark, sf_dir):
     return gaps.forward_fill(df, ["event_type"], TS, ["n", "level"], chunk="day")
 
 
+def grid_repair(spark, sf_dir):
+    """Grid, bad days, interpolation and flags in one pass over the observed rows."""
+    cols = [*fx.LINEAR, *fx.ORDINALS, *fx.FLAGS]
+    return fx.clean(spark, sf_dir).select(*KEYS, TS, "registered", "registered_filled", "bad_day", *cols)
+
+
 def calendar_override(spark, sf_dir):
     df = fx.tagged(spark, sf_dir).select(*KEYS, TS, "workingday", "holiday")
     return cal.override_flags(df, TS, fx.OVERRIDES)
@@ -189,7 +195,7 @@ QUERIES = {
         csv_roundtrip, tagged_union, train_test_split_by_tag, hourly_grid, hourly_grid_by_join,
         calendar_spine, missing_by_day, bad_day_flag, bad_day_mask, interpolate_time,
         interpolate_ordinal, interpolate_time_chunked, backfill, forward_fill,
-        forward_fill_chunked, calendar_override, date_parts, log_targets, clock_lag,
+        forward_fill_chunked, grid_repair, calendar_override, date_parts, log_targets, clock_lag,
         clock_lag_sparse, clock_lag_chunked, lag_fanout, offday_run_length,
         offday_run_length_chunked, feature_projection, complete_cases, fold_assign, holdout_mask,
     )
@@ -262,6 +268,12 @@ FROM gridded WINDOW w AS (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECED
         """SELECT event_type, ts, last_value(n IGNORE NULLS) OVER w AS n,
   last_value(level IGNORE NULLS) OVER w AS level
 FROM by_type_grid WINDOW w AS (PARTITION BY event_type ORDER BY ts ROWS UNBOUNDED PRECEDING)"""
+    ),
+    "grid_repair": sql.panel(
+        sql.CLEAN,
+        f"""SELECT user_id, ts, registered, bad_day, workingday, holiday, data_set, weather, humidity,
+  temp, atemp, windspeed, {sql.linear('registered', 'ts')} AS registered_filled
+FROM (SELECT *, {sql.neighbours(['registered'], 'user_id', 'ts')} FROM clean)""",
     ),
     "calendar_override": sql.panel(
         sql.TAGGED,

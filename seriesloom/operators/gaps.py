@@ -18,11 +18,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import day_of, micros_between
+from seriesloom.session import spread_by_keys
 
 
 def _stamped(ts: str, c: str) -> Column:
     """(ts, value) where the value is there, else NULL."""
-    return F.when(F.col(c).isNotNull(), F.struct(F.col(ts).alias("t"), F.col(c).alias("v")))
+    return F.expr(f"IF(`{c}` IS NOT NULL, named_struct('t', `{ts}`, 'v', `{c}`), NULL)")
 
 
 def _running(order_col: Column, part: list) -> Window:
@@ -127,26 +128,25 @@ def back_fill(
 
 
 def _same_day_first(ts: str, c: str) -> Column:
-    before, after = F.col(f"__prev_{c}"), F.col(f"__next_{c}")
-    return (
-        F.when(day_of(after["t"]) == day_of(ts), after["v"])
-        .when(day_of(before["t"]) == day_of(ts), before["v"])
-        .otherwise(after["v"])
+    before, after, day = f"`__prev_{c}`", f"`__next_{c}`", f"CAST(`{ts}` AS DATE)"
+    return F.expr(
+        f"CASE WHEN CAST({after}.t AS DATE) = {day} THEN {after}.v "
+        f"WHEN CAST({before}.t AS DATE) = {day} THEN {before}.v ELSE {after}.v END"
     )
 
 
 def _linear(ts: str, c: str) -> Column:
-    """Value on the line between the neighbours; flat after the last, NULL before the first."""
-    before, after = F.col(f"__prev_{c}"), F.col(f"__next_{c}")
-    rise = after["v"].cast("double") - before["v"].cast("double")
-    on_line = before["v"].cast("double") + rise * micros_between(F.col(ts), before["t"]) / (
-        micros_between(after["t"], before["t"])
-    )
-    return (
-        F.when(F.col(c).isNotNull(), F.col(c).cast("double"))
-        .when(before.isNull(), None)
-        .when(after.isNull(), before["v"].cast("double"))
-        .otherwise(on_line)
+    """Value on the line between the neighbours; flat after the last, NULL before the first.
+
+    The distance is elapsed time, in microseconds, so uneven stamps count right.
+    """
+    before, after = f"`__prev_{c}`", f"`__next_{c}`"
+    at, t0, t1 = (f"unix_micros(CAST({t} AS TIMESTAMP))" for t in (f"`{ts}`", f"{before}.t", f"{after}.t"))
+    v0, v1 = f"CAST({before}.v AS DOUBLE)", f"CAST({after}.v AS DOUBLE)"
+    return F.expr(
+        f"CASE WHEN {before} IS NULL THEN NULL "
+        f"WHEN {after} IS NULL OR {before}.t = `{ts}` THEN {v0} "
+        f"ELSE {v0} + ({v1} - {v0}) * CAST({at} - {t0} AS DOUBLE) / CAST({t1} - {t0} AS DOUBLE) END"
     )
 
 
@@ -187,3 +187,79 @@ def repair(
     for c in flags:
         out[c] = F.col(f"__next_{c}")["v"] if mode == "plain" else _same_day_first(ts, c)
     return near.withColumns(out).select(*names)
+
+
+def fill_grid(
+    observed: DataFrame,
+    keys: list[str],
+    ts: str,
+    linear: list[str],
+    ordinals: list[str],
+    flags: list[str],
+    probe: str,
+    max_missing: int = 2,
+    also: dict[str, str] | None = None,
+) -> DataFrame:
+    """``regular_grid``, ``flag_bad_days`` and ``repair`` (same-day flags) in one.
+
+    The neighbours and the per-day counts are found among the *observed* rows,
+    before these are stretched into slots: on a sparse panel the windows sort a
+    fraction of the grid. ``also`` maps columns to the names of interpolated
+    copies, next to which the column itself stays as observed.
+    """
+    also = also or {}
+    hour = F.expr("INTERVAL 1 HOUR")
+    carried = [*linear, *ordinals, *flags, *also]
+    series = Window.partitionBy(*keys)
+    asc, desc = series.orderBy(ts), series.orderBy(F.col(ts).desc())
+    upto = asc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    after = desc.rowsBetween(Window.unboundedPreceding, -1)
+    back = desc.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    day = day_of(ts)
+    rows = spread_by_keys(observed, keys).withColumn(
+        "__seen", F.count(probe).over(Window.partitionBy(*keys, day))
+    )
+    rows = rows.withColumns(
+        {f"__prev_{c}": F.last(_stamped(ts, c), True).over(upto) for c in carried}
+        | {
+            "__lo": F.first(ts).over(upto),
+            "__next_ts": F.lead(ts).over(asc),
+            "__next_seen": F.lead("__seen").over(asc),
+        }
+    )
+    rows = rows.withColumns(
+        {f"__next_{c}": F.last(_stamped(ts, c), True).over(after) for c in carried}
+        | {"__hi": F.first(ts).over(back)}
+    )
+    until = F.coalesce(F.col("__next_ts") - hour, F.col(ts))
+    slots = rows.withColumn("__slot", F.explode(F.sequence(F.col(ts), until, hour)))
+
+    own = F.col("__slot") == F.col(ts)
+    today = day_of("__slot")
+    midnight = F.date_trunc("day", "__slot").cast("timestamp_ntz")
+    first = F.greatest(F.col("__lo"), midnight)
+    last = F.least(F.col("__hi"), midnight + F.expr("INTERVAL 23 HOURS"))
+    expected = micros_between(last, first) / F.lit(3.6e9) + 1
+    seen = (
+        F.when(today == day, F.col("__seen"))
+        .when(today == day_of("__next_ts"), F.col("__next_seen"))
+        .otherwise(0)
+    )
+
+    out = {c: _linear("__slot", c) for c in linear}
+    out |= {c: F.rint(_linear("__slot", c)).cast("int") for c in ordinals}
+    out |= {
+        c: F.when(own & F.col(c).isNotNull(), F.col(c)).otherwise(_same_day_first("__slot", c))
+        for c in flags
+    }
+    for c in observed.columns:
+        if c not in out and c not in keys and c != ts:
+            out[c] = F.when(own, F.col(c))
+    return slots.select(
+        *keys,
+        F.col("__slot").alias(ts),
+        *[col.alias(c) for c, col in out.items()],
+        *[_linear("__slot", c).alias(name) for c, name in also.items()],
+        (expected - seen > max_missing).cast("int").alias("bad_day"),
+    )

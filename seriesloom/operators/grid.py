@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import day_of, hour_of
+from seriesloom.session import spread_by_keys
 
 
 def hourly_buckets(
@@ -37,7 +38,7 @@ def regular_grid(
     following = F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts))
     until = F.coalesce(following - interval, F.col(ts))
     values = [c for c in df.columns if c not in keys and c != ts]
-    slots = df.withColumn("__until", until).withColumn(
+    slots = spread_by_keys(df, keys).withColumn("__until", until).withColumn(
         "__slot", F.explode(F.sequence(F.col(ts), F.col("__until"), interval))
     )
     observed = F.col("__slot") == F.col(ts)

@@ -9,8 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the zone: timestamps are zoneless, and hour truncation must not see DST."""
+    """Settings of the running session that the operators count on.
+
+    Zone: timestamps are zoneless, and hour truncation must not see DST.
+    Method limit: the JVM never compiles methods above 8,000 bytes of bytecode.
+    Wide repair projections exceed that when fused into one stage and then run
+    interpreted (three times slower here); with the limit Spark splits them.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     return spark
 
 
@@ -53,3 +60,16 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_by_keys(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Hash partitioning by ``keys`` into ``spark.sql.shuffle.partitions`` parts.
+
+    For operators that multiply rows after a shuffle: adaptive coalescing sizes
+    partitions by what goes in and would leave too few. The windows that follow
+    need this partitioning anyway, so it adds no shuffle.
+    """
+    if not keys:
+        return df
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys)
