@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from queries import fixtures as fx
 from queries import sql
 from seriesloom.functions.scalars import fold_label, log_plus_one
+from seriesloom.plans import forecast
 from seriesloom.operators import grid, lags, linear, predictions, profile, scoring, trend
 from seriesloom.operators import weighted
 from seriesloom.session import scratch_path, stage
@@ -32,7 +33,7 @@ def _residuals(spark, sf_dir):
 
 def daily_rollup(spark, sf_dir):
     """Daily sums and means, bad days bridged by interpolation."""
-    day = fx.daily(fx.features(spark, sf_dir))
+    day = forecast.daily(fx.features(spark, sf_dir), fx.SPEC)
     measured = [*fx.COUNTS, *fx.WEATHER, "day_of_week"]
     # Means of few values end in a 5 at the seventh place often; move them off the tie.
     return day.withColumns({c: F.round(F.col(c) + 1e-8, 6) for c in measured})
@@ -79,31 +80,31 @@ def daily_to_hourly_asof(spark, sf_dir):
 
 
 def normalised_demand(spark, sf_dir):
-    totals = fx.with_totals(_features(spark, sf_dir))
-    norm = profile.normalise(totals, {"registered": "registered_ma", "casual": "casual_ma"})
+    totals = fx.totals(_features(spark, sf_dir))
+    norm = profile.normalise(totals, {"registered": "registered_total", "casual": "casual_total"})
     return _rounded(
         norm.select(*KEYS, TS, "registered_norm", "casual_norm"), ["registered_norm", "casual_norm"]
     )
 
 
 def hourly_profile(spark, sf_dir):
-    shares = fx.share_table(fx.with_totals(_features(spark, sf_dir)))
+    shares = forecast.shares(fx.totals(_features(spark, sf_dir)), fx.SPEC)
     return _rounded(shares, ["registered_share", "casual_share"])
 
 
 def hourly_profile_geo(spark, sf_dir):
-    totals = fx.with_totals(_features(spark, sf_dir))
+    totals = fx.totals(_features(spark, sf_dir))
     shares = profile.geometric_profile(
         totals,
         KEYS,
         TS,
-        {"registered_share": ("registered", "registered_ma"), "casual_share": ("casual", "casual_ma")},
+        {"registered_share": ("registered", "registered_total"), "casual_share": ("casual", "casual_total")},
     )
     return _rounded(shares, ["registered_share", "casual_share"])
 
 
 def hourly_trend(spark, sf_dir):
-    df = fx.hourly_trend(fx.with_totals(_features(spark, sf_dir)))
+    df = forecast.hourly_trend(fx.totals(_features(spark, sf_dir)), fx.SPEC)
     cols = ["registered_trend", "casual_trend"]
     return _rounded(df.select(*KEYS, TS, *cols), cols)
 
@@ -145,8 +146,8 @@ def _model_table(spark, sf_dir):
         F.col("count").isNotNull() | (F.col("submit") == 1)
     )
     wide = df.withColumns(
-        {f"{s}_average": log_plus_one(F.col(f"{s}_ma") / 24) for s in SEGMENTS}
-        | {f"{s}_previous": log_plus_one(F.col(f"{s}_ma") * F.col("hour") / 276) for s in SEGMENTS}
+        {f"{s}_average": log_plus_one(F.col(f"{s}_total") / 24) for s in SEGMENTS}
+        | {f"{s}_previous": log_plus_one(F.col(f"{s}_total") * F.col("hour") / 276) for s in SEGMENTS}
     )
     columns = {("profile", s): f"log_{s}_trend" for s in SEGMENTS}
     columns |= {(m, s): f"{s}_{m}" for m in ("average", "previous") for s in SEGMENTS}

@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import day_of
-from seriesloom.operators import gaps, grid, lags, profile, trend
-from seriesloom.operators import calendar as cal
+from seriesloom.operators import gaps, grid
+from seriesloom.plans import forecast
+from seriesloom.plans.spec import SCREENED_LAGS, PanelSpec
 from seriesloom.session import prepare
 
 KEYS = ["user_id"]
@@ -35,14 +36,10 @@ OVERRIDES = {
     dt.date(2024, 1, 15): {"workingday": 0, "holiday": 1},
     dt.date(2024, 1, 20): {"workingday": 1, "holiday": 0},
 }
-# The lags the original features use, in hours.
-LAGS = {
-    "atemp": [7, 24],
-    "humidity": [11, 24],
-    "temp": [24],
-    "weather": [1, 24],
-    "windspeed": [11, 24],
-}
+LAGS = SCREENED_LAGS
+SPEC = PanelSpec(
+    KEYS, TS, SEGMENTS, max_missing=MAX_MISSING, base_year=BASE_YEAR, overrides=OVERRIDES
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,10 +77,9 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training and test parts, tagged, in one table; test counts are missing."""
     events = table(spark, sf_dir, "events")
     cut = F.expr(SPLIT)
-    train = observed(events.where(F.col(TS) < cut)).withColumn("data_set", F.lit(0))
+    train = observed(events.where(F.col(TS) < cut))
     test = observed(events.where(F.col(TS) >= cut)).drop(*COUNTS)
-    test = test.withColumns({"data_set": F.lit(1), "submit": F.lit(1)})
-    return train.unionByName(test, allowMissingColumns=True)
+    return forecast.tag_and_union(train, test)
 
 
 def gridded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,88 +87,20 @@ def gridded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Complete, repaired hours; ``C_filled`` are the counts with gaps bridged."""
-    repaired = gaps.fill_grid(
-        tagged(spark, sf_dir),
-        KEYS,
-        TS,
-        LINEAR,
-        ORDINALS,
-        FLAGS,
-        probe="weather",
-        max_missing=MAX_MISSING,
-        also={c: f"{c}_filled" for c in COUNTS},
-    )
-    return cal.override_flags(repaired, TS, OVERRIDES)
+    return forecast.repair(tagged(spark, sf_dir), SPEC)
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = cal.add_log_targets(clean(spark, sf_dir), COUNTS)
-    df = cal.add_date_parts(df, TS, BASE_YEAR)
-    df = lags.clock_lag(df, KEYS, TS, LAGS)
-    return cal.offday_run_length(df, KEYS, TS)
-
-
-def daily(feats: DataFrame) -> DataFrame:
-    """Daily sums and means; bad days bridged."""
-    day = grid.daily_rollup(
-        feats.drop(*COUNTS).withColumnsRenamed({f"{c}_filled": c for c in COUNTS}),
-        KEYS,
-        TS,
-        COUNTS,
-        ["data_set", "workingday", "weekend", "bad_day", "day_of_week", "month", *WEATHER],
-    )
-    bridged = [*COUNTS, *WEATHER]
-    masked = grid.null_where(day, F.col("bad_day") == 1, bridged)
-    return gaps.interpolate_time(masked, KEYS, "day", bridged)
-
-
-def daily_features(feats: DataFrame) -> DataFrame:
-    """Daily inputs of a trend model; test targets hidden."""
-    day = cal.add_log_targets(daily(feats), COUNTS)
-    day = lags.daily_lag(day, KEYS, "day", WEATHER)
-    day = grid.elapsed_days(day, KEYS, "day")
-    return grid.null_where(day, F.col("data_set") == 1, [f"log_{c}" for c in COUNTS])
-
-
-def average_trend(feats: DataFrame) -> DataFrame:
-    """Daily trend without a fit: 3-day moving average of the training days."""
-    known = grid.null_where(daily(feats), F.col("data_set") == 1, COUNTS)
-    return trend.moving_average(known, KEYS, "day", SEGMENTS).select(
-        *KEYS, "day", "registered_ma", "casual_ma"
-    )
-
-
-def with_totals(feats: DataFrame) -> DataFrame:
-    """Hours with the daily trend of their day."""
-    return trend.daily_to_hourly(feats, average_trend(feats), KEYS, TS, ["registered_ma", "casual_ma"])
-
-
-def share_table(totals: DataFrame) -> DataFrame:
-    norm = profile.normalise(totals, {"registered": "registered_ma", "casual": "casual_ma"})
-    return profile.share_profile(
-        norm,
-        KEYS,
-        TS,
-        {"registered_share": F.col("registered_norm"), "casual_share": F.col("casual_norm")},
-    )
+    return forecast.features(clean(spark, sf_dir), SPEC)
 
 
-def hourly_trend(totals: DataFrame) -> DataFrame:
-    return profile.spread_over_day(
-        totals,
-        share_table(totals),
-        KEYS,
-        TS,
-        {
-            "registered_trend": ("registered_share", "registered_ma"),
-            "casual_trend": ("casual_share", "casual_ma"),
-        },
-    )
+def totals(feats: DataFrame) -> DataFrame:
+    """Hours with the moving-average trend of their day."""
+    return forecast.with_totals(feats, forecast.average_trend(feats, SPEC), SPEC)
 
 
 def residuals(feats: DataFrame) -> DataFrame:
-    return profile.residual_targets(hourly_trend(with_totals(feats)), SEGMENTS)
+    return forecast.residuals(feats, forecast.average_trend(feats, SPEC), SPEC)
 
 
 def by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
