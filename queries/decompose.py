@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from queries import fixtures as fx
 from queries import sql
 from seriesloom.functions.scalars import fold_label, log_plus_one
-from seriesloom.plans import forecast
+from seriesloom.plans import forecast, learn
 from seriesloom.operators import grid, lags, linear, predictions, profile, scoring, trend
 from seriesloom.operators import weighted
 from seriesloom.session import scratch_path, stage
 from seriesloom.sources import tables
+from seriesloom.sources.csv import read_csv
 
 KEYS, TS, SEGMENTS = fx.KEYS, fx.TS, fx.SEGMENTS
 MODELS = ["profile", "average", "previous"]
@@ -22,13 +23,8 @@ def _rounded(df, cols, digits=6):
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
-def _features(spark, sf_dir):
-    """Hourly features, kept as a table: the trend reads them by day and by hour."""
-    return stage(fx.features(spark, sf_dir), "features")
-
-
 def _residuals(spark, sf_dir):
-    return fx.residuals(_features(spark, sf_dir))
+    return fx.residuals(fx.kept_features(spark, sf_dir))
 
 
 def daily_rollup(spark, sf_dir):
@@ -72,7 +68,7 @@ def trend_rmse(spark, sf_dir):
 
 
 def daily_to_hourly_asof(spark, sf_dir):
-    """Daily orders-like totals on hours: days without a row inherit the last one."""
+    """Daily totals on hours: days without a row inherit the last one."""
     hourly = fx.gridded(spark, sf_dir).select(*KEYS, TS)
     observed = fx.tagged(spark, sf_dir)
     sums = grid.daily_rollup(observed, KEYS, TS, ["registered", "casual"], [])
@@ -80,7 +76,7 @@ def daily_to_hourly_asof(spark, sf_dir):
 
 
 def normalised_demand(spark, sf_dir):
-    totals = fx.totals(_features(spark, sf_dir))
+    totals = fx.totals(fx.kept_features(spark, sf_dir))
     norm = profile.normalise(totals, {"registered": "registered_total", "casual": "casual_total"})
     return _rounded(
         norm.select(*KEYS, TS, "registered_norm", "casual_norm"), ["registered_norm", "casual_norm"]
@@ -88,12 +84,12 @@ def normalised_demand(spark, sf_dir):
 
 
 def hourly_profile(spark, sf_dir):
-    shares = forecast.shares(fx.totals(_features(spark, sf_dir)), fx.SPEC)
+    shares = forecast.shares(fx.totals(fx.kept_features(spark, sf_dir)), fx.SPEC)
     return _rounded(shares, ["registered_share", "casual_share"])
 
 
 def hourly_profile_geo(spark, sf_dir):
-    totals = fx.totals(_features(spark, sf_dir))
+    totals = fx.totals(fx.kept_features(spark, sf_dir))
     shares = profile.geometric_profile(
         totals,
         KEYS,
@@ -104,7 +100,7 @@ def hourly_profile_geo(spark, sf_dir):
 
 
 def hourly_trend(spark, sf_dir):
-    df = forecast.hourly_trend(fx.totals(_features(spark, sf_dir)), fx.SPEC)
+    df = forecast.hourly_trend(fx.totals(fx.kept_features(spark, sf_dir)), fx.SPEC)
     cols = ["registered_trend", "casual_trend"]
     return _rounded(df.select(*KEYS, TS, *cols), cols)
 
@@ -142,12 +138,11 @@ def rmsle(spark, sf_dir):
 
 def _model_table(spark, sf_dir):
     """Log predictions of three fit-free models in long form."""
-    df = _residuals(spark, sf_dir).where(
-        F.col("count").isNotNull() | (F.col("submit") == 1)
-    )
+    df = lags.clock_lag(_residuals(spark, sf_dir), KEYS, TS, {f"{s}_filled": [24] for s in SEGMENTS})
+    df = learn.asked_rows(df, fx.SPEC)
     wide = df.withColumns(
         {f"{s}_average": log_plus_one(F.col(f"{s}_total") / 24) for s in SEGMENTS}
-        | {f"{s}_previous": log_plus_one(F.col(f"{s}_total") * F.col("hour") / 276) for s in SEGMENTS}
+        | {f"{s}_previous": log_plus_one(f"{s}_filled_24h_ago") for s in SEGMENTS}
     )
     columns = {("profile", s): f"log_{s}_trend" for s in SEGMENTS}
     columns |= {(m, s): f"{s}_{m}" for m in ("average", "previous") for s in SEGMENTS}
@@ -188,12 +183,6 @@ def forecast_submission(spark, sf_dir):
     path = scratch_path(spark, "submission")
     table = predictions.submission(df, KEYS, TS, [f"log_{s}_pred" for s in SEGMENTS])
     tables.write_submission(table, path, [*KEYS, TS], "count")
-    return read_submission(spark, path)
-
-
-def read_submission(spark, path):
-    from seriesloom.sources.csv import read_csv
-
     return read_csv(spark, path, "user_id bigint, ts timestamp_ntz, count bigint")
 
 
@@ -244,12 +233,12 @@ def weighted_median(spark, sf_dir):
 
 
 def weighted_median_rowwise(spark, sf_dir):
-    """The ensemble form: per order, over the array of its lines."""
+    """The ensemble form: within a row, over an array of (value, weight)."""
     lines = fx.table(spark, sf_dir, "lineitem")
-    entry = F.struct(F.col("l_extendedprice").alias("value"), F.col("l_quantity").alias("weight"))
-    # An order has at most seven lines.
-    grouped = lines.groupBy("l_orderkey").agg(F.collect_list(entry).alias("entries"))
-    return grouped.select("l_orderkey", weighted.weighted_median_of("entries").alias("median"))
+    discount, tax = F.rint(F.col("l_discount") * 100), F.rint(F.col("l_tax") * 100)
+    members = [(F.col("l_quantity"), tax + 1), (discount, F.lit(3.0)), (tax, discount + 1)]
+    entries = F.array(*[F.struct(v.alias("value"), w.alias("weight")) for v, w in members])
+    return lines.select("l_orderkey", weighted.weighted_median_of(entries).alias("median"))
 
 
 def _lag_scores(spark, sf_dir):
@@ -282,14 +271,19 @@ def ranked_pairs(spark, sf_dir):
 
 def _fold_scores(spark, sf_dir):
     df = _residuals(spark, sf_dir).where(F.col("data_set") == 0)
-    df = df.withColumns({"fold": fold_label(TS), "x2": F.col("temp") / 10000})
-    scores = None
-    for s in SEGMENTS:
-        own = df.select("fold", F.col(f"log_{s}_trend").alias("x1"), "x2", F.col(f"log_{s}_diff").alias("y"))
-        part = linear.ridge_fold_scores(own, "fold", ["x1", "x2"], "y", [0.1, 1.0, 10.0])
-        part = part.withColumn("segment", F.lit(s))
-        scores = part if scores is None else scores.unionByName(part)
-    return scores
+    cases = F.array(
+        *[
+            F.struct(
+                F.lit(s).alias("segment"),
+                F.col(f"log_{s}_trend").alias("x1"),
+                (F.col("temp") / 10000).alias("x2"),
+                F.col(f"log_{s}_diff").alias("y"),
+            )
+            for s in SEGMENTS
+        ]
+    )
+    rows = df.select(fold_label(TS).alias("fold"), F.inline(cases))
+    return linear.ridge_fold_scores(rows, ["segment"], "fold", ["x1", "x2"], "y", [0.1, 1.0, 10.0])
 
 
 def predefined_fold_cv(spark, sf_dir):
@@ -342,12 +336,16 @@ _MODEL_PARTS = "\n  UNION ALL ".join(
     for m, expr in (
         ("profile", "log_{s}_trend"),
         ("average", "ln({s}_ma / 24 + 1)"),
-        ("previous", "ln({s}_ma * hour / 276 + 1)"),
+        ("previous", "ln({s}_day_ago + 1)"),
     )
     for s in SEGMENTS
 )
 _MODEL_TABLE = f"""
-asked AS (SELECT * FROM residuals WHERE count IS NOT NULL OR submit = 1),
+day_ago AS (
+  SELECT user_id, ts, lag(registered, 24) OVER w AS registered_day_ago, lag(casual, 24) OVER w AS casual_day_ago
+  FROM hourly_filled WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+asked AS (
+  SELECT * FROM residuals LEFT JOIN day_ago USING (user_id, ts) WHERE count IS NOT NULL OR submit = 1),
 model_rows AS ({_MODEL_PARTS}),
 model_table AS (SELECT * FROM model_rows WHERE log_pred IS NOT NULL)"""
 
@@ -558,11 +556,17 @@ FROM (SELECT l_returnflag, l_extendedprice AS v,
     sum(l_quantity) OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS run,
     sum(l_quantity) OVER (PARTITION BY l_returnflag) AS total FROM lineitem)
 WHERE run >= 0.5 * total AND l_returnflag IS NOT NULL GROUP BY 1""",
-    "weighted_median_rowwise": """SELECT l_orderkey, min(v) AS median
-FROM (SELECT l_orderkey, l_extendedprice AS v,
-    sum(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice) AS run,
-    sum(l_quantity) OVER (PARTITION BY l_orderkey) AS total FROM lineitem)
-WHERE run >= 0.5 * total GROUP BY 1""",
+    "weighted_median_rowwise": """WITH numbered AS (
+  SELECT row_number() OVER () AS id, l_orderkey, l_quantity AS q, round(l_discount * 100) AS d,
+    round(l_tax * 100) AS t FROM lineitem),
+members AS (
+  SELECT id, l_orderkey, q AS v, t + 1 AS w FROM numbered
+  UNION ALL SELECT id, l_orderkey, d, 3 FROM numbered
+  UNION ALL SELECT id, l_orderkey, t, d + 1 FROM numbered)
+SELECT l_orderkey, median FROM (
+  SELECT id, l_orderkey, min(v) AS median
+  FROM (SELECT *, sum(w) OVER (PARTITION BY id ORDER BY v) AS run, sum(w) OVER (PARTITION BY id) AS total
+    FROM members) WHERE run >= 0.5 * total GROUP BY 1, 2)""",
     "lag_correlation": sql.panel(
         sql.PROFILE, "SELECT segment, feature, round(r, 6) AS r FROM lag_scores", _FAN
     ),

@@ -18,7 +18,7 @@ from seriesloom.functions.scalars import day_of
 from seriesloom.operators import gaps, grid
 from seriesloom.plans import forecast
 from seriesloom.plans.spec import SCREENED_LAGS, PanelSpec
-from seriesloom.session import prepare
+from seriesloom.session import prepare, stage
 
 KEYS = ["user_id"]
 TS = "ts"
@@ -94,13 +94,33 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.features(clean(spark, sf_dir), SPEC)
 
 
+def kept_features(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
+    """Hourly features as a table, since the trend reads them by day and by hour.
+
+    Unless ``full``, only what the decomposition needs is computed and written:
+    the lags and most of the weather fall out of the plan.
+    """
+    df = features(spark, sf_dir)
+    if not full:
+        df = df.select(
+            *KEYS, TS, "hour", "workingday", "data_set", "submit", "bad_day", "temp",
+            *[f"{p}{c}" for c in COUNTS for p in ("", "log_")], *[f"{c}_filled" for c in COUNTS],
+        )
+    return stage(df, "features")
+
+
+def daily_trend(feats: DataFrame) -> DataFrame:
+    """Moving-average trend, kept too: the profile and the hourly trend read it."""
+    return stage(forecast.average_trend(feats, SPEC), "daily_trend")
+
+
 def totals(feats: DataFrame) -> DataFrame:
     """Hours with the moving-average trend of their day."""
-    return forecast.with_totals(feats, forecast.average_trend(feats, SPEC), SPEC)
+    return forecast.with_totals(feats, daily_trend(feats), SPEC)
 
 
 def residuals(feats: DataFrame) -> DataFrame:
-    return forecast.residuals(feats, forecast.average_trend(feats, SPEC), SPEC)
+    return forecast.residuals(feats, daily_trend(feats), SPEC)
 
 
 def by_type(spark: SparkSession, sf_dir: str) -> DataFrame:

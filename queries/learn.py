@@ -19,13 +19,9 @@ SMALL_FOREST = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 4, "featur
 SMALL_BOOSTED = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.7}
 
 
-def _features(spark, sf_dir):
-    return stage(fx.features(spark, sf_dir), "features")
-
-
 def _inputs(spark, sf_dir):
     trees.ready(spark)
-    return learn.residual_inputs(fx.residuals(_features(spark, sf_dir)), SPEC)
+    return learn.residual_inputs(fx.residuals(fx.kept_features(spark, sf_dir, full=True)), SPEC)
 
 
 def _forecast(spark, sf_dir, make):
@@ -82,7 +78,7 @@ def residual_bagged_adaboost(spark, sf_dir):
 
 def _stack_inputs(spark, sf_dir):
     """Features next to the fit-free models' predictions."""
-    df = fx.residuals(_features(spark, sf_dir)).withColumns(
+    df = fx.residuals(fx.kept_features(spark, sf_dir, full=True)).withColumns(
         {f"log_{s}_average_pred": F.log1p(F.col(f"{s}_total") / 24) for s in SEGMENTS}
         | {f"log_{s}_profile_pred": F.col(f"log_{s}_trend") for s in SEGMENTS}
     )
@@ -134,7 +130,7 @@ def feature_importance(spark, sf_dir):
 def lag_screening(spark, sf_dir):
     """Importance of one weather column and each of its 24 hourly lags."""
     base = "windspeed"
-    df = fx.residuals(_features(spark, sf_dir)).select(
+    df = fx.residuals(fx.kept_features(spark, sf_dir, full=True)).select(
         *KEYS, TS, "data_set", base, *[f"log_{s}_diff" for s in SEGMENTS]
     )
     names = [base, *[lags.lag_name(base, k) for k in range(1, 25)]]

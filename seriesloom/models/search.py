@@ -27,7 +27,7 @@ def fold_search(
     rows = df.select("features", label, fold).persist(StorageLevel.MEMORY_AND_DISK)
     folds = [r[0] for r in rows.where(F.col(fold) >= 0).select(fold).distinct().collect()]
 
-    @inheritable_thread_target
+    @inheritable_thread_target(df.sparkSession)
     def score(task):
         name, k = task
         model = candidates[name].fit(rows.where(F.col(fold) != k))

@@ -46,17 +46,16 @@ def features(repaired: DataFrame, spec: PanelSpec) -> DataFrame:
     return cal.offday_run_length(df, spec.keys, spec.ts)
 
 
-def daily(feats: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Daily sums and means; bad days bridged by interpolation."""
+def daily(feats: DataFrame, spec: PanelSpec, counts_only: bool = False) -> DataFrame:
+    """Daily sums and means; bad days bridged by interpolation.
+
+    ``counts_only`` leaves out the calendar and weather means, which only a
+    fitted trend needs.
+    """
     filled = feats.drop(*spec.counts).withColumnsRenamed({f"{c}_filled": c for c in spec.counts})
-    day = grid.daily_rollup(
-        filled,
-        spec.keys,
-        spec.ts,
-        spec.counts,
-        ["data_set", "workingday", "weekend", "bad_day", "day_of_week", "month", *spec.covariates],
-    )
-    bridged = [*spec.counts, *spec.covariates]
+    extra = [] if counts_only else ["workingday", "weekend", "day_of_week", "month", *spec.covariates]
+    day = grid.daily_rollup(filled, spec.keys, spec.ts, spec.counts, ["data_set", "bad_day", *extra])
+    bridged = spec.counts if counts_only else [*spec.counts, *spec.covariates]
     masked = grid.null_where(day, F.col("bad_day") == 1, bridged)
     return gaps.interpolate_time(masked, spec.keys, "day", bridged)
 
@@ -71,7 +70,7 @@ def daily_inputs(feats: DataFrame, spec: PanelSpec) -> DataFrame:
 
 def average_trend(feats: DataFrame, spec: PanelSpec, span: int = 3) -> DataFrame:
     """``keys, day, S_total``: moving average over the training days."""
-    known = grid.null_where(daily(feats, spec), F.col("data_set") == TEST, spec.counts)
+    known = grid.null_where(daily(feats, spec, counts_only=True), F.col("data_set") == TEST, spec.counts)
     averaged = trend.moving_average(known, spec.keys, "day", spec.segments, span, suffix="_total")
     return averaged.select(*spec.keys, "day", *[f"{s}_total" for s in spec.segments])
 

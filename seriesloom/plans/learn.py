@@ -12,15 +12,16 @@ from seriesloom.functions.scalars import exp_minus_one
 from seriesloom.models import smoother, trees
 from seriesloom.operators import profile
 from seriesloom.plans.forecast import daily
-from seriesloom.plans.spec import TEST, TRAIN, PanelSpec
+from seriesloom.plans.spec import TRAIN, PanelSpec
 from seriesloom.session import stage
 
 MakeEstimator = Callable[[str], Estimator]
 
 
-def asked_rows(residuals: DataFrame) -> DataFrame:
-    """Training hours, and the test hours that were given."""
-    return residuals.where((F.col("data_set") == TRAIN) | (F.col("submit") == 1))
+def asked_rows(residuals: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Training hours with a count, and the test hours that were given; hours
+    that exist only because the grid was completed are neither."""
+    return residuals.where(F.col(spec.total).isNotNull() | (F.col("submit") == 1))
 
 
 def forest_trend(inputs: DataFrame, spec: PanelSpec, **params) -> DataFrame:
@@ -72,7 +73,7 @@ def residual_inputs(residuals: DataFrame, spec: PanelSpec, extra: list[str] | No
         *spec.keys, spec.ts, "data_set", spec.total, *spec.hourly_features, *(extra or []),
         *[f"log_{s}{suffix}" for s in spec.segments for suffix in ("_trend", "_diff", "")],
     ]
-    complete = asked_rows(residuals).select(*dict.fromkeys(keep))
+    complete = asked_rows(residuals, spec).select(*dict.fromkeys(keep))
     complete = complete.na.drop(subset=[*spec.hourly_features, *(extra or [])])
     return stage(complete, "residual_inputs")
 
@@ -126,7 +127,3 @@ def tree_stack(inputs: DataFrame, spec: PanelSpec, own: dict[str, list[str]], ma
         inputs = model.transform(rows).withColumnRenamed("prediction", f"log_{s}_stack_pred")
         inputs = inputs.drop("features")
     return inputs
-
-
-def test_rows(df: DataFrame) -> DataFrame:
-    return df.where(F.col("data_set") == TEST)

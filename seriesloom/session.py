@@ -48,6 +48,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared directory and read it back.
 
@@ -55,6 +58,7 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     pruning and filter pushdown.
     """
     path = scratch_path(df.sparkSession, name)
+    _STAGED.append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -62,6 +66,16 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the tables ``stage`` wrote in this process, once nothing reads them."""
+    dropped = 0
+    while _STAGED:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        dropped += 1
+    return dropped
+
+
 def spread_by_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Hash partitioning by ``keys`` into ``spark.sql.shuffle.partitions`` parts.
 
