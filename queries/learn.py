@@ -10,7 +10,7 @@ from seriesloom.functions.scalars import fold_label
 from seriesloom.models import smoother, trees
 from seriesloom.models.adaboost import AdaBoostR2, BaggedAdaBoost
 from seriesloom.models.search import fold_search
-from seriesloom.operators import lags, linear, scoring
+from seriesloom.operators import linear, scoring
 from seriesloom.plans import forecast, learn
 from seriesloom.session import stage
 
@@ -129,17 +129,11 @@ def feature_importance(spark, sf_dir):
 
 def lag_screening(spark, sf_dir):
     """Importance of one weather column and each of its 24 hourly lags."""
-    base = "windspeed"
-    df = fx.residuals(fx.kept_features(spark, sf_dir, full=True)).select(
-        *KEYS, TS, "data_set", base, *[f"log_{s}_diff" for s in SEGMENTS]
+    residuals = fx.residuals(fx.kept_features(spark, sf_dir, full=True))
+    scores = learn.screen_lags(
+        residuals, SPEC, "windspeed", lambda label: trees.forest(label, **SMALL_FOREST)
     )
-    names = [base, *[lags.lag_name(base, k) for k in range(1, 25)]]
-    fan = lags.lag_fan_out(df, KEYS, TS, base).where(F.col("data_set") == 0)
-    rows = trees.assemble(stage(fan.na.drop(), "lag_fan"), names)
-    models = {
-        s: trees.forest(f"log_{s}_diff", **SMALL_FOREST).fit(rows) for s in SEGMENTS
-    }
-    return scoring.ranked_pairs(trees.importances(models, names, spark), SEGMENTS)
+    return scoring.ranked_pairs(scores, SEGMENTS)
 
 
 def forest_fold_search(spark, sf_dir):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import exp_minus_one
 from seriesloom.models import smoother, trees
-from seriesloom.operators import profile
+from seriesloom.operators import lags, profile
 from seriesloom.plans.forecast import daily
 from seriesloom.plans.spec import TRAIN, PanelSpec
 from seriesloom.session import stage
@@ -127,3 +127,19 @@ def tree_stack(inputs: DataFrame, spec: PanelSpec, own: dict[str, list[str]], ma
         inputs = model.transform(rows).withColumnRenamed("prediction", f"log_{s}_stack_pred")
         inputs = inputs.drop("features")
     return inputs
+
+
+def screen_lags(
+    residuals: DataFrame, spec: PanelSpec, base: str, make: MakeEstimator, up_to: int = 24
+) -> DataFrame:
+    """How much each lag of one covariate tells about the residuals:
+    ``(segment, feature, importance)`` of models that see the column and its
+    lags only."""
+    targets = [f"log_{s}_diff" for s in spec.segments]
+    narrow = residuals.select(*spec.keys, spec.ts, "data_set", base, *targets)
+    fan = lags.lag_fan_out(narrow, spec.keys, spec.ts, base, up_to)
+    complete = fan.where(F.col("data_set") == TRAIN).na.drop()
+    names = [base, *[lags.lag_name(base, k) for k in range(1, up_to + 1)]]
+    rows = trees.assemble(stage(complete, "lag_fan"), names)
+    models = {s: make(f"log_{s}_diff").fit(rows) for s in spec.segments}
+    return trees.importances(models, names, residuals.sparkSession)
