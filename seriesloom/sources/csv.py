@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seriesloom.functions.scalars import nan_to_null
+
 # Columns of the hourly input tables. Test tables lack the last three.
 HOURLY_COLUMNS = (
     "datetime timestamp_ntz, season int, holiday int, workingday int, weather int, "
@@ -32,7 +33,7 @@ def read_csv(
         .csv(path)
     )
     floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating})
+    return df.withColumns({c: nan_to_null(c) for c in floating})
 
 
 def read_hourly_csv(spark: SparkSession, path: str, with_counts: bool = True) -> DataFrame:
