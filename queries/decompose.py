@@ -138,7 +138,7 @@ def rmsle(spark, sf_dir):
 
 def _model_table(spark, sf_dir):
     """Log predictions of three fit-free models in long form."""
-    df = lags.clock_lag(_residuals(spark, sf_dir), KEYS, TS, {f"{s}_filled": [24] for s in SEGMENTS})
+    df = fx.residuals(fx.kept_features(spark, sf_dir, previous=True))
     df = learn.asked_rows(df, fx.SPEC)
     wide = df.withColumns(
         {f"{s}_average": log_plus_one(F.col(f"{s}_total") / 24) for s in SEGMENTS}

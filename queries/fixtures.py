@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import day_of
-from seriesloom.operators import gaps, grid
+from seriesloom.operators import gaps, grid, lags
 from seriesloom.plans import forecast
 from seriesloom.plans.spec import SCREENED_LAGS, PanelSpec
 from seriesloom.session import prepare, stage
@@ -94,11 +94,14 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forecast.features(clean(spark, sf_dir), SPEC)
 
 
-def kept_features(spark: SparkSession, sf_dir: str, full: bool = False) -> DataFrame:
+def kept_features(
+    spark: SparkSession, sf_dir: str, full: bool = False, previous: bool = False
+) -> DataFrame:
     """Hourly features as a table, since the trend reads them by day and by hour.
 
     Unless ``full``, only what the decomposition needs is computed and written:
-    the lags and most of the weather fall out of the plan.
+    the lags and most of the weather fall out of the plan. ``previous`` adds the
+    counts of the day before while the rows still lie by series.
     """
     df = features(spark, sf_dir)
     if not full:
@@ -106,6 +109,8 @@ def kept_features(spark: SparkSession, sf_dir: str, full: bool = False) -> DataF
             *KEYS, TS, "hour", "workingday", "data_set", "submit", "bad_day", "temp",
             *[f"{p}{c}" for c in COUNTS for p in ("", "log_")], *[f"{c}_filled" for c in COUNTS],
         )
+    if previous:
+        df = lags.clock_lag(df, KEYS, TS, {f"{s}_filled": [24] for s in SEGMENTS})
     return stage(df, "features")
 
 
