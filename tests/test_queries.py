@@ -71,3 +71,11 @@ def test_three_tables_align_in_one_shuffle(spark):
 
     parts = [spark.range(5).selectExpr("id", f"id AS v{i}") for i in range(3)]
     assert plan_of(outer_align(parts, ["id"])).count("Exchange") == 1
+
+
+def test_a_hot_series_is_reduced_before_any_shuffle(spark):
+    """Map-side partial sums: a third of all events in one series costs a row per hour and task."""
+    plan = plan_of(registry.QUERIES["tagged_union"](spark, str(SF)))
+    lines = plan.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert exchanges and all("partial_count" in lines[i + 1] for i in exchanges)
