@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import sharding, warc
+from seriesloom.llm import packing, sharding, topk, warc
 from seriesloom.llm.common import table
 
 
@@ -19,6 +19,26 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector with all others."""
+    vectors = topk.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return topk.exact_top_k(vectors, F.col("id") % 20 == 0, k=20)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT DISTINCT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank", vec_id, score FROM scored)
+SELECT * FROM ranked WHERE "rank" <= 20
+"""
+
+
 def damaged(recs: DataFrame) -> DataFrame:
     """A second replica of a laid-out archive with known damage: some records flipped, some lost."""
     flipped = F.when(F.col("page_id") % 101 == 7, F.sha2(F.concat(F.lit("flipped "), "digest"), 256)).otherwise(F.col("digest"))
@@ -48,8 +68,16 @@ SELECT page_id, "offset", length, CASE WHEN page_id % 211 = 5 THEN 'missing' ELS
 FROM laid WHERE page_id % 211 = 5 OR page_id % 101 = 7
 """
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 1,024 tokens."""
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), "doc_id", "text", limit=1024, end_id=2)
+    return packing.pack(pieces, limit=1024).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
+    "op5_top_k": op5_top_k,
     "op6_warc_fixity": op6_warc_fixity,
+    "op8_packing": op8_packing,
 }
-ORACLES: dict[str, str] = {"op6_warc_fixity": OP6_SQL}
+ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op6_warc_fixity": OP6_SQL}
