@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import packing, sharding, topk, warc
-from seriesloom.llm.common import table
+from seriesloom.llm import packing, sharding, topk, toxicity, warc
+from seriesloom.llm.common import learns_from, table
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +68,14 @@ SELECT page_id, "offset", length, CASE WHEN page_id % 211 = 5 THEN 'missing' ELS
 FROM laid WHERE page_id % 211 = 5 OR page_id % 101 = 7
 """
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole document, learned from the labelled rows that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    learns = learns_from("doc_id", 4, 2)
+    scored = toxicity.score(docs, toxicity.fit(docs, labels.where(learns)))
+    return scored.select("doc_id", (~learns).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1,024 tokens."""
     pieces = packing.token_pieces(table(spark, sf_dir, "documents"), "doc_id", "text", limit=1024, end_id=2)
@@ -78,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op5_top_k": op5_top_k,
     "op6_warc_fixity": op6_warc_fixity,
+    "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
 }
 ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op6_warc_fixity": OP6_SQL}
