@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import packing, sharding, topk, toxicity, warc
+from seriesloom.llm import packing, secrets, sharding, topk, toxicity, warc
 from seriesloom.llm.common import learns_from, table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings of every whole document, as counts and spans."""
+    found = F.col("findings")
+    return secrets.findings(table(spark, sf_dir, "documents")).select(
+        "doc_id", *(secrets.count(found, k).alias(f"n_{k}") for k in secrets.BASE),
+        F.sha2(secrets.spans(found, secrets.BASE).cast("binary"), 256).alias("base_sha256"), secrets.spans(found).alias("spans"),
+    )
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 contiguous shards of near equal bytes."""
     cut = sharding.shard_by_bytes(table(spark, sf_dir, "documents"), shards=16)
@@ -83,6 +92,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
     "op5_top_k": op5_top_k,
     "op6_warc_fixity": op6_warc_fixity,
