@@ -185,7 +185,7 @@ def findings(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, kind)], names=[batch.schema.names[0], "findings"])
 
     slim = df.select(id_col, F.col(text_col).cast("string").alias("__text"))
-    return slim.mapInArrow(run, slim.drop("__text").schema.add("findings", FINDING))
+    return slim.mapInArrow(run, slim.select(id_col, F.lit(None).cast(FINDING).alias("findings")).schema)
 
 
 def spans(found: Column, kinds: tuple[str, ...] = KINDS) -> Column:
