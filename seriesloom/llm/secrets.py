@@ -165,7 +165,7 @@ def with_runs(texts: pa.Array) -> np.ndarray:
     data = np.frombuffer(wide.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
     offsets = offsets - offsets[0]
     breaks = np.union1d(np.flatnonzero(~_RUN_BYTES[data]), offsets - 1)
-    long = breaks[1:][np.diff(breaks) > RUN] - 1  # the last byte of each long run, or one inside it
+    long = breaks[1:][np.diff(breaks) >= RUN] - 1  # inside the run
     return np.isin(np.arange(len(wide)), np.searchsorted(offsets, long, side="right") - 1)
 
 
