@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import packing, secrets, sharding, topk, toxicity, warc
+from seriesloom.llm import jaccard, packing, secrets, sharding, topk, toxicity, warc
 from seriesloom.llm.common import learns_from, table
 
 
@@ -91,6 +91,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, limit=1024).withColumnRenamed("id", "doc_id")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes of all documents: five-word shingles, similarity of 0.8 or more."""
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
@@ -98,5 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc_fixity": op6_warc_fixity,
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op6_warc_fixity": OP6_SQL}
