@@ -142,7 +142,8 @@ def _sets(df: DataFrame, chosen: DataFrame, id_col: str, text_col: str, words: i
                         found[digest] = s
                 yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], names=["digest", "shingles"])
 
-    return texts.join(asked, F.col("__id") == F.col("__rep")).select("digest", "text").mapInArrow(run, "digest binary, shingles binary")
+    # The same plan at every size: a small list of classes must not turn into a broadcast.
+    return texts.join(asked.hint("merge"), F.col("__id") == F.col("__rep")).select("digest", "text").mapInArrow(run, "digest binary, shingles binary")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
