@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import jaccard, packing, secrets, sharding, topk, toxicity, warc
+from seriesloom.llm import decontaminate, jaccard, packing, secrets, sharding, topk, toxicity, warc
 from seriesloom.llm.common import learns_from, table
 
 
@@ -28,6 +28,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds an item of the benchmark, and which."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best inner products of every twentieth vector with all others."""
     vectors = topk.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
@@ -99,6 +104,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
+    "op4_decontamination": op4_decontamination,
     "op5_top_k": op5_top_k,
     "op6_warc_fixity": op6_warc_fixity,
     "op7_toxicity": op7_toxicity,
