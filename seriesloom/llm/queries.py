@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontaminate, jaccard, packing, secrets, sharding, topk, toxicity, warc
+from seriesloom.llm import decontaminate, jaccard, packing, repeats, secrets, sharding, topk, toxicity, warc
 from seriesloom.llm.common import learns_from, table
 
 
@@ -101,6 +101,16 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document covered by a 400-byte string that starts elsewhere, too."""
+    out = repeats.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text", length=400)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
+    return out.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.coalesce(F.sha2("kept", 256), "sha").alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
@@ -110,5 +120,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_toxicity": op7_toxicity,
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_repeats": op10_repeats,
 }
 ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op6_warc_fixity": OP6_SQL}
