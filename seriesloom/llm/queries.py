@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontaminate, jaccard, packing, repeats, secrets, sharding, topk, toxicity, warc
+from seriesloom.llm import decontaminate, jaccard, ngrams, packing, repeats, secrets, sharding, topk, toxicity, warc
 from seriesloom.llm.common import learns_from, table
 
 
@@ -28,6 +28,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document under a trigram model of the documents that are not held out."""
+    docs, learns = table(spark, sf_dir, "documents"), learns_from("doc_id", 7, 2)
+    model = ngrams.fit(docs.where(learns))
+    scored = ngrams.score(docs, model)
+    return scored.select("doc_id", (~learns).alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds an item of the benchmark, and which."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -114,6 +122,7 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
+    "op3_ngram_scores": op3_ngram_scores,
     "op4_decontamination": op4_decontamination,
     "op5_top_k": op5_top_k,
     "op6_warc_fixity": op6_warc_fixity,

@@ -309,20 +309,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return train([r[1] for r in got], np.array([r[2] for r in got]))
 
 
-def score(docs: DataFrame, net: dict | None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """The columns named and ``score``."""
-    slim = None if net is None else {k: v for k, v in net.items()}
-    model = docs.sparkSession.sparkContext.broadcast(slim)  # bounded: BUCKETS x DIM and a few small matrices
+def score(docs: DataFrame, net: dict | None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), score_col: str = "score") -> DataFrame:
+    """The id, the columns named in ``carry`` and the score."""
+    model = docs.sparkSession.sparkContext.broadcast(net)  # bounded: BUCKETS x DIM and a few small matrices
+    cols = list(dict.fromkeys((id_col, *carry)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 scores = score_texts(model.value, [t or "" for t in part.column("__text").to_pylist()])
-                kept = [part.column(c) for c in part.schema.names if c != "__text"]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(scores)], names=[*(c for c in part.schema.names if c != "__text"), "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in cols), pa.array(scores, pa.float64())], names=[*cols, score_col])
 
-    cols = [F.col(c) for c in dict.fromkeys((id_col, *carry))]
-    slim_docs = docs.select(*cols, F.col(text_col).cast("string").alias("__text"))
-    schema = slim_docs.drop("__text").schema.add("score", "double")
-    return slim_docs.mapInArrow(run, schema)
+    slim = docs.select(*cols, F.col(text_col).cast("string").alias("__text"))
+    return slim.mapInArrow(run, slim.select(*cols, F.lit(0.0).alias(score_col)).schema)
