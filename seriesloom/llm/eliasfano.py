@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-WORDS = 8  # 64-bit words between two directory entries
+WORDS = 4  # 64-bit words between two directory entries
 
 
 def _pack_low(values: np.ndarray, bits: int) -> np.ndarray:

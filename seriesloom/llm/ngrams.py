@@ -43,7 +43,7 @@ from seriesloom.session import scratch_path
 ORDER, KEEP, DISCOUNT = 3, (1, 2, 2), 0.75
 END = 1  # hash of the end of a text
 STEPS, LEAST = 255, 9.0  # codes spread evenly over so many decades below 1
-CHUNK = 1 << 20
+CHUNK = 1 << 22
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -167,11 +167,13 @@ class Trie(Level):
 
     def find(self, parent: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Entry number (-1: none), discounted probability and the parent's rest, for each pair."""
-        key, back = _distinct(parent, word)
-        parent, word = parent[key], word[key]
+        out = np.full(len(parent), -1, np.int64), np.zeros(len(parent)), np.ones(len(parent))
+        known = np.flatnonzero(parent >= 0)
+        if not self.files or not len(known):
+            return out
+        key, back = _distinct(parent[known], word[known])
+        parent, word = parent[known][key], word[known][key]
         index, share, rest = np.full(len(parent), -1, np.int64), np.zeros(len(parent)), np.ones(len(parent))
-        if not self.files:
-            return index[back], share[back], rest[back]
         shard = np.searchsorted(self.first_parent, parent, "right") - 1
         for arrays, at, i in self.each(np.where((parent < 0) | (shard < 0), -1, shard)):
             inside = at[parent[at] <= self.last_parent[i]]
@@ -197,12 +199,16 @@ class Trie(Level):
             hit[hit] = words.get(spot[hit]) == (ahead + word[at])[hit]
             index[at[hit]] = self.rows[i] + spot[hit]
             share[at[hit]] = decoded(arrays["code"][spot[hit]])
-        return index[back], share[back], rest[back]
+        for column, values in zip(out, (index, share, rest)):
+            column[known] = values[back]
+        return out
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the distinct pairs, sorted, and each pair's number among them."""
-    order = np.lexsort((b, a))
+    wide = int(b.max(initial=0)) + 2
+    joined = a * wide + b if int(a.max(initial=0)) < 2**62 // wide else None
+    order = np.lexsort((b, a)) if joined is None else np.argsort(joined)
     new = np.append(True, (np.diff(a[order]) != 0) | (np.diff(b[order]) != 0))[: len(a)]
     back = np.empty(len(a), np.int64)
     back[order] = np.cumsum(new) - 1
@@ -224,27 +230,28 @@ class Model:
         self.words, self.levels = words, levels
         self.total, self.size = int(words.mass[-1]), int(words.rows[-1])
 
-    def parents(self, ids: np.ndarray, sizes: np.ndarray, end: int, order: int) -> np.ndarray:
-        """For each token the entry of its order - 1 preceding words (-1: none), a text's first context being an end."""
+    def walk(self, ids: np.ndarray, sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray | None, np.ndarray | None]]:
+        """Per level from 2 on: each token's parent entry, then its discounted probability and its parent's rest.
+
+        The entry of a token and those in front of it is the parent of the next token one level down; a text's first
+        context is an end token alone. The last step has parents only.
+        """
+        end = int(self.words.ids(np.array([END], np.uint64))[0])
         first = np.zeros(len(ids), bool)
         first[np.cumsum(sizes) - sizes] = True
-        before = np.where(first, end, np.append(end, ids[:-1]))
-        entry = before
-        for level in self.levels[: order - 2]:
-            # The entry that led to the token in front, extended by that token; a text's first token has none.
-            longer, _, _ = level.find(np.append(-1, entry[:-1]), before)
-            entry = np.where(first, -1, longer)
-        return entry
+        parent = np.where(first, end, np.append(end, ids[:-1]))
+        for level in self.levels:
+            index, share, rest = level.find(parent, ids)
+            yield parent, share, rest
+            parent = np.where(first, -1, np.append(-1, index[:-1]))
+        yield parent, None, None
 
     def probabilities(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Counts and probabilities of all tokens."""
-        end = int(self.words.ids(np.array([END], np.uint64))[0])
         count = self.words.column(ids, "count")
         p = (count + 1) / (self.total + self.size + 1)
-        for k, level in enumerate(self.levels):
-            parent = self.parents(ids, sizes, end, k + 2)
-            _, share, rest = level.find(parent, ids)
-            p = share + rest * p
+        for _, share, rest in self.walk(ids, sizes):
+            p = p if share is None else share + rest * p
         return count, p
 
 
@@ -290,7 +297,7 @@ def _edge_rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in _EDGE.split(", ")])
 
 
-def _level(df: DataFrame, model: Model, order: int, folder: str, shards: int, keep: int, last: bool) -> Trie:
+def _level(df: DataFrame, model: Model, folder: str, shards: int, keep: int, last: bool) -> Trie:
     lower = model.levels[-1] if model.levels else model.words
     total = max(int(model.words.mass[-1]), 1)
     span = max(int(lower.mass[-1]), 1)
@@ -299,12 +306,11 @@ def _level(df: DataFrame, model: Model, order: int, folder: str, shards: int, ke
         import zstandard
 
         codec = zstandard.ZstdCompressor(level=1)
-        end = int(model.words.ids(np.array([END], np.uint64))[0])
         for batch in batches:
             parents, words = [], []
             for _, _, h, sizes in _batches(batch, "text"):
                 ids = model.words.ids(h)
-                parent = model.parents(ids, sizes, end, order)
+                *_, (parent, _, _) = model.walk(ids, sizes)
                 parents.append(parent[parent >= 0])
                 words.append(ids[parent >= 0])
             p, w = np.concatenate(parents or [np.zeros(0, np.int64)]), np.concatenate(words or [np.zeros(0, np.int64)])
@@ -383,7 +389,7 @@ def fit(df: DataFrame, text_col: str = "text", order: int = ORDER, keep: tuple[i
     model = Model(_vocabulary(texts, f"{root}/1", shards), [])
     for k in range(2, order + 1):
         _folder(spark, f"{root}/{k}")
-        model.levels.append(_level(texts, model, k, f"{root}/{k}", shards, keep[k - 1], k == order))
+        model.levels.append(_level(texts, model, f"{root}/{k}", shards, keep[k - 1], k == order))
     return model
 
 
