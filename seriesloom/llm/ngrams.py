@@ -43,7 +43,7 @@ from seriesloom.session import scratch_path
 ORDER, KEEP, DISCOUNT = 3, (1, 2, 2), 0.75
 END = 1  # hash of the end of a text
 STEPS, LEAST = 255, 9.0  # codes spread evenly over so many decades below 1
-CHUNK = 1 << 22
+CHUNK, GROUP = 1 << 20, 1 << 23
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -67,17 +67,37 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(value, np.cumsum(n), np.uint64(END)), n + 1
 
 
-def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of rows of about ``CHUNK`` bytes: first, end, tokens, tokens of each row."""
-    texts = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in batch.column(column)]
-    lo = 0
-    while lo < len(texts):
-        hi, size = lo, 0
-        while hi < len(texts) and (hi == lo or size + len(texts[hi]) < CHUNK):
-            size += len(texts[hi]) + 1
-            hi += 1
-        yield lo, hi, *tokens(texts[lo:hi])
-        lo = hi
+def _batches(batch: pa.RecordBatch, column: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Tokens and token counts of runs of rows of about ``GROUP`` bytes, hashed ``CHUNK`` bytes at a time."""
+    held, group = [], 0
+    texts, size = [], 0
+
+    def hashed() -> None:
+        nonlocal size
+        if texts:
+            held.append(tokens(texts))
+            texts.clear()
+            size = 0
+
+    def joined() -> tuple[np.ndarray, np.ndarray]:
+        nonlocal group
+        out = tuple(np.concatenate(x) for x in zip(*held))
+        held.clear()
+        group = 0
+        return out
+
+    for value in batch.column(column):
+        text = (value.as_py() or "").encode("utf-8", "surrogatepass")
+        texts.append(text)
+        size, group = size + len(text) + 1, group + len(text) + 1
+        if size >= CHUNK:
+            hashed()
+        if group >= GROUP:
+            hashed()
+            yield joined()
+    hashed()
+    if held:
+        yield joined()
 
 
 def _save(path: str, arrays: dict[str, np.ndarray]) -> None:
@@ -258,7 +278,7 @@ class Model:
 def _counted(df: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(t, return_counts=True) for _, _, t, _ in _batches(batch, "text")]
+            found = [np.unique(t, return_counts=True) for t, _ in _batches(batch, "text")]
             if found:
                 h, c = (np.concatenate(x) for x in zip(*found))
                 h, back = np.unique(h, return_inverse=True)
@@ -308,7 +328,7 @@ def _level(df: DataFrame, model: Model, folder: str, shards: int, keep: int, las
         codec = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             parents, words = [], []
-            for _, _, h, sizes in _batches(batch, "text"):
+            for h, sizes in _batches(batch, "text"):
                 ids = model.words.ids(h)
                 *_, (parent, _, _) = model.walk(ids, sizes)
                 parents.append(parent[parent >= 0])
@@ -406,7 +426,7 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], []]
-            for _, _, h, sizes in _batches(batch, "text"):
+            for h, sizes in _batches(batch, "text"):
                 count, p = model.probabilities(model.words.ids(h), sizes)
                 base = np.log10((count + 1) / (model.total + model.size + 1))
                 begin = np.cumsum(sizes) - sizes
