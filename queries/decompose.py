@@ -153,8 +153,8 @@ def prediction_table(spark, sf_dir):
     """Predictions written by model, replaced by a rerun, and read back."""
     path = scratch_path(spark, "predictions")
     table = _model_table(spark, sf_dir)
-    tables.write_predictions(table, path)
-    tables.write_predictions(table.where(F.col("model") == "average"), path)
+    tables.write_predictions(table, path, KEYS, TS)
+    tables.write_predictions(table.where(F.col("model") == "average"), path, KEYS, TS)
     read = tables.read_predictions(spark, path)
     return _rounded(read.select("model", *KEYS, TS, "segment", "log_pred"), ["log_pred"])
 
@@ -228,7 +228,7 @@ def ridge_gram(spark, sf_dir):
 
 def weighted_median(spark, sf_dir):
     """Price at half the quantity, for groups as large as a third of the table."""
-    lines = fx.table(spark, sf_dir, "lineitem").where("l_returnflag IS NOT NULL")
+    lines = fx.table(spark, sf_dir, "lineitem")
     return weighted.weighted_median(lines, ["l_returnflag"], "l_extendedprice", "l_quantity")
 
 
@@ -555,7 +555,7 @@ FROM (SELECT l_returnflag, l_quantity AS q, round(l_discount * 100) AS d, round(
 FROM (SELECT l_returnflag, l_extendedprice AS v,
     sum(l_quantity) OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) AS run,
     sum(l_quantity) OVER (PARTITION BY l_returnflag) AS total FROM lineitem)
-WHERE run >= 0.5 * total AND l_returnflag IS NOT NULL GROUP BY 1""",
+WHERE run >= 0.5 * total GROUP BY 1""",
     "weighted_median_rowwise": """WITH numbered AS (
   SELECT row_number() OVER () AS id, l_orderkey, l_quantity AS q, round(l_discount * 100) AS d,
     round(l_tax * 100) AS t FROM lineitem),

@@ -32,8 +32,7 @@ def _forecast(spark, sf_dir, make):
 def daily_trend_forest(spark, sf_dir):
     """Daily totals of both segments from forests on calendar and weather."""
     feats = fx.features(spark, sf_dir)
-    inputs = forecast.daily_inputs(feats, SPEC).na.drop(subset=SPEC.daily_features)
-    inputs = stage(inputs, "daily_inputs")
+    inputs = stage(learn.filled_daily(feats, SPEC), "daily_inputs")
     params = {"numTrees": 10, "maxDepth": 6, "featureSubsetStrategy": "0.2"}
     return learn.forest_trend(inputs, SPEC, **params)
 

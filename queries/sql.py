@@ -56,7 +56,7 @@ obs AS (
   SELECT user_id, date_trunc('hour', ts) AS ts,
     count(*) FILTER (event_type IN ('purchase', 'signup')) AS registered,
     count(*) FILTER (event_type IN ('click', 'view')) AS casual,
-    least(count(*) FILTER (event_type = 'error'), 4)::INT AS weather,
+    (count(*) FILTER (event_type = 'error'))::INT AS weather,
     sum(h)::DOUBLE / count(*) AS temp,
     (sum(h) FILTER (event_type = 'click'))::DOUBLE / count(*) FILTER (event_type = 'click') AS atemp,
     round_even((sum(h) FILTER (event_type = 'view'))::DOUBLE

@@ -63,14 +63,6 @@ def fold_label(
     return label.cast("int")
 
 
-def blend(weight: str | Column, on: str | Column, off: str | Column) -> Column:
-    """``weight * on + (1 - weight) * off``."""
-    w = F.col(weight) if isinstance(weight, str) else weight
-    a = F.col(on) if isinstance(on, str) else on
-    b = F.col(off) if isinstance(off, str) else off
-    return w * a + (F.lit(1) - w) * b
-
-
 def micros_between(later: str | Column, earlier: str | Column) -> Column:
     """Elapsed time as a DOUBLE count of microseconds."""
     a = F.unix_micros(F.col(later).cast("timestamp") if isinstance(later, str) else later.cast("timestamp"))

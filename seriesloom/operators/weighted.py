@@ -57,7 +57,10 @@ def weighted_median(
         )
         .where((F.col("__before") < F.col("__half")) & (F.col("__through") >= F.col("__half")))
     )
-    inside = binned.join(crossing, [*keys, "__b"])
+    # Null keys are groups, too.
+    same = [F.col(c).eqNullSafe(F.col(f"__at_{c}")) for c in [*keys, "__b"]]
+    at = crossing.select(*[F.col(c).alias(f"__at_{c}") for c in [*keys, "__b"]], "__before", "__half")
+    inside = binned.join(at, same)
     fine = group.orderBy("__v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     reached = F.col("__before") + F.sum("__w").over(fine) >= F.col("__half")
     # Rounding of the sums may leave the bucket's last value a hair short of half.

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Estimator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import exp_minus_one
 from seriesloom.models import smoother, trees
 from seriesloom.operators import lags, profile
+from seriesloom.plans import forecast
 from seriesloom.plans.forecast import daily
-from seriesloom.plans.spec import TRAIN, PanelSpec
+from seriesloom.plans.spec import TEST, TRAIN, PanelSpec
 from seriesloom.session import stage
 
 MakeEstimator = Callable[[str], Estimator]
@@ -24,6 +25,25 @@ def asked_rows(residuals: DataFrame, spec: PanelSpec) -> DataFrame:
     return residuals.where(F.col(spec.total).isNotNull() | (F.col("submit") == 1))
 
 
+def usable(rows: DataFrame, features: list[str]) -> DataFrame:
+    """Complete training rows and all test rows, with 0 for what the latter lack."""
+    whole = F.lit(True)
+    for c in features:
+        whole = whole & F.col(c).isNotNull()
+    return rows.where((F.col("data_set") == TEST) | whole).fillna(0, subset=features)
+
+
+def filled_daily(feats: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Daily inputs with every covariate filled from the series' next day, then from
+    its last one; what a series never saw counts as 0. No day is lost."""
+    day = forecast.daily_inputs(feats, spec)
+    later = Window.partitionBy(*spec.keys).orderBy(F.desc("day")).rowsBetween(Window.unboundedPreceding, 0)
+    earlier = Window.partitionBy(*spec.keys).orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
+    day = day.withColumns({c: F.last(c, ignorenulls=True).over(later) for c in spec.daily_features})
+    day = day.withColumns({c: F.last(c, ignorenulls=True).over(earlier) for c in spec.daily_features})
+    return day.fillna(0, subset=spec.daily_features)
+
+
 def forest_trend(inputs: DataFrame, spec: PanelSpec, **params) -> DataFrame:
     """``keys, day, S_total`` from one forest per segment on the daily inputs."""
     rows = trees.assemble(inputs, spec.daily_features)
@@ -68,14 +88,14 @@ def smooth_trend(
 
 
 def residual_inputs(residuals: DataFrame, spec: PanelSpec, extra: list[str] | None = None) -> DataFrame:
-    """Rows to fit and predict, narrowed, complete in their features, and staged."""
+    """Rows to fit and predict, narrowed and staged. Incomplete training rows go;
+    every asked test row stays, a feature it lacks counting as 0."""
     keep = [
         *spec.keys, spec.ts, "data_set", spec.total, *spec.hourly_features, *(extra or []),
         *[f"log_{s}{suffix}" for s in spec.segments for suffix in ("_trend", "_diff", "")],
     ]
     complete = asked_rows(residuals, spec).select(*dict.fromkeys(keep))
-    complete = complete.na.drop(subset=[*spec.hourly_features, *(extra or [])])
-    return stage(complete, "residual_inputs")
+    return stage(usable(complete, [*spec.hourly_features, *(extra or [])]), "residual_inputs")
 
 
 def training_rows(inputs: DataFrame, label: str) -> DataFrame:
