@@ -66,7 +66,7 @@ STAGES = [
     ("secrets", without_secrets),
     ("packing", packed),
 ]
-#: No stage but the fourth could be said in SQL: tested stage by stage.
+#: SQL can't express the stages; tests hold them against brute force.
 ORACLE_SQL = None
 
 

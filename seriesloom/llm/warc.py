@@ -56,9 +56,9 @@ def _level(nodes: DataFrame, span: int, fan_in: str) -> DataFrame:
 
 def tree(replica: DataFrame, height: int) -> list[DataFrame]:
     """Levels from the ranges of ``RANGE`` bytes up to the root; a node holds few digests (bounded by its span)."""
-    levels = [_level(replica, RANGE, "offset")]
+    levels = [stage(_level(replica, RANGE, "offset"), "tree")]
     for _ in range(height):
-        levels.append(_level(levels[-1], FAN, "node"))
+        levels.append(stage(_level(levels[-1], FAN, "node"), "tree"))
     return levels
 
 
