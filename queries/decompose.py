@@ -39,8 +39,7 @@ def midnight_pick(spark, sf_dir):
     """Each day with the elapsed-day number read off its midnight row."""
     hourly = fx.gridded(spark, sf_dir).select(*KEYS, TS, "registered")
     hourly = hourly.withColumn("elapsed", F.dayofyear(TS) + 365 * (F.year(TS) - fx.BASE_YEAR))
-    day = grid.daily_rollup(hourly, KEYS, TS, ["registered"], [])
-    return grid.midnight_value(day, hourly, KEYS, TS, "elapsed")
+    return grid.daily_rollup(hourly, KEYS, TS, ["registered"], [], midnights=["elapsed"])
 
 
 def elapsed_days(spark, sf_dir):
@@ -117,7 +116,7 @@ def _hour_effect(df):
         .groupBy("hour")
         .agg(*[F.avg(f"log_{s}_diff").alias(f"{s}_residual") for s in SEGMENTS])
     )
-    return df.join(effect, "hour", "left")
+    return df.join(F.broadcast(effect), "hour", "left")  # 24 rows, by the clock
 
 
 def recombine_segments(spark, sf_dir):
@@ -167,10 +166,11 @@ def predictions_pivot(spark, sf_dir):
 def prediction_full_outer(spark, sf_dir):
     """Observed targets and the predictions of each model, aligned on the key."""
     table = stage(_model_table(spark, sf_dir), "predictions", ["model"])
-    parts = [fx.tagged(spark, sf_dir).select(*KEYS, TS, "registered")]
+    parts = [fx.tagged(spark, sf_dir).select(*KEYS, TS, *SEGMENTS)]
     for m in MODELS:
-        own = table.where((F.col("model") == m) & (F.col("segment") == "registered"))
-        parts.append(own.select(*KEYS, TS, F.round("log_pred", 6).alias(f"log_registered_{m}_pred")))
+        for s in SEGMENTS:
+            own = table.where((F.col("model") == m) & (F.col("segment") == s))
+            parts.append(own.select(*KEYS, TS, F.round("log_pred", 6).alias(f"log_{s}_{m}_pred")))
     return predictions.outer_align(parts, [*KEYS, TS])
 
 
@@ -520,9 +520,10 @@ FROM fitted WHERE data_set = 0 AND count IS NOT NULL GROUP BY 1""",
     ),
     "prediction_full_outer": sql.panel(
         sql.PROFILE,
-        f"""SELECT user_id, ts, t.registered, {", ".join(f"round({m}.p, 6) AS log_registered_{m}_pred" for m in MODELS)}
+        f"""SELECT user_id, ts, t.registered, t.casual,
+  {", ".join(f"round({m}_{s}.p, 6) AS log_{s}_{m}_pred" for m in MODELS for s in SEGMENTS)}
 FROM tagged t {" ".join(f'''FULL OUTER JOIN (SELECT user_id, ts, log_pred AS p FROM model_table
-  WHERE model = '{m}' AND segment = 'registered') {m} USING (user_id, ts)''' for m in MODELS)}""",
+  WHERE model = '{m}' AND segment = '{s}') {m}_{s} USING (user_id, ts)''' for m in MODELS for s in SEGMENTS)}""",
         _MODEL_TABLE,
     ),
     "forecast_submission": sql.panel(

@@ -3,7 +3,7 @@
 The role mapping onto ``events``: a user is a series; ``registered`` are
 purchases and signups, ``casual`` are clicks and views; weather columns are
 hourly means of ``value`` (in hundredths, so that sums are exact), overall and
-for single event types; hours up to the split date are the training part, later
+for single event types; days 1 to 19 of each month are the training part, later
 ones the test part, whose counts are hidden.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import day_of
@@ -28,7 +28,8 @@ LINEAR = ["temp", "atemp", "windspeed"]
 ORDINALS = ["weather", "humidity"]
 WEATHER = ["atemp", "humidity", "temp", "weather", "windspeed"]
 FLAGS = ["workingday", "holiday", "data_set"]
-SPLIT = "TIMESTAMP_NTZ '2024-01-20 00:00:00'"
+# The last days of each month are the test part.
+HELD_OUT_AFTER = 19
 # A user is active in few hours, so only a day without any counts as bad.
 MAX_MISSING = 23
 BASE_YEAR = 2024
@@ -46,6 +47,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(stamp: str = TS) -> Column:
+    return F.dayofmonth(stamp) > HELD_OUT_AFTER
+
+
 def observed(events: DataFrame) -> DataFrame:
     """One row per user and hour with events."""
     kind = F.col("event_type")
@@ -74,11 +79,19 @@ def observed(events: DataFrame) -> DataFrame:
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training and test parts, tagged, in one table; test counts are missing."""
+    """Training and test parts, tagged, in one table; test counts are missing.
+
+    One pass over the events: no hour lies in both parts.
+    """
+    hours = grid.null_where(observed(table(spark, sf_dir, "events")), held_out(), COUNTS)
+    return hours.withColumns({"data_set": held_out().cast("int"), "submit": F.when(held_out(), 1)})
+
+
+def tagged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from two inputs, as training and test files would come."""
     events = table(spark, sf_dir, "events")
-    cut = F.expr(SPLIT)
-    train = observed(events.where(F.col(TS) < cut))
-    test = observed(events.where(F.col(TS) >= cut)).drop(*COUNTS)
+    train = observed(events.where(~held_out()))
+    test = observed(events.where(held_out())).drop(*COUNTS)
     return forecast.tag_and_union(train, test)
 
 

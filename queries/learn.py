@@ -3,6 +3,9 @@ original stand in ``seriesloom.models.trees``."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queries import fixtures as fx
@@ -16,6 +19,7 @@ from seriesloom.session import stage
 
 KEYS, TS, SEGMENTS, SPEC = fx.KEYS, fx.TS, fx.SEGMENTS, fx.SPEC
 SMALL_FOREST = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 4, "featureSubsetStrategy": "all"}
+DAILY_FOREST = {"numTrees": 10, "maxDepth": 6, "featureSubsetStrategy": "0.2"}
 SMALL_BOOSTED = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.7}
 
 
@@ -33,8 +37,7 @@ def daily_trend_forest(spark, sf_dir):
     """Daily totals of both segments from forests on calendar and weather."""
     feats = fx.features(spark, sf_dir)
     inputs = stage(learn.filled_daily(feats, SPEC), "daily_inputs")
-    params = {"numTrees": 10, "maxDepth": 6, "featureSubsetStrategy": "0.2"}
-    return learn.forest_trend(inputs, SPEC, **params)
+    return learn.forest_trend(inputs, SPEC, **DAILY_FOREST)
 
 
 def daily_trend_gp(spark, sf_dir):
@@ -52,6 +55,49 @@ def daily_trend_gp(spark, sf_dir):
     return smoother.smooth(rows, ["o_orderpriority", "workingday"], "x", "y", "nugget")
 
 
+def _chain(spark, sf_dir, trend):
+    """Fitted daily trend, hourly profile and trend, residual forest, recombined counts."""
+    trees.ready(spark)
+    feats = fx.kept_features(spark, sf_dir, full=True)
+    day = stage(trend(feats), "daily_trend")
+    inputs = learn.residual_inputs(forecast.residuals(feats, day, SPEC), SPEC)
+    df, _ = learn.predict_residuals(inputs, SPEC, lambda label: trees.forest(label, **SMALL_FOREST))
+    logs = [f"log_{s}{suffix}" for s in SEGMENTS for suffix in ("", "_trend", "_pred")]
+    return df.select(*KEYS, TS, "data_set", *logs, "count", "count_pred")
+
+
+def _forest_trend(feats):
+    inputs = stage(learn.filled_daily(feats, SPEC), "daily_inputs")
+    return learn.forest_trend(inputs, SPEC, **DAILY_FOREST)
+
+
+def _smooth_trend(feats):
+    return learn.smooth_trend(feats, SPEC, {"registered": 0.5, "casual": 2.0})
+
+
+def forecast_forest(spark, sf_dir):
+    """The whole forecast from a daily forest: every training hour and every asked one."""
+    return _chain(spark, sf_dir, _forest_trend)
+
+
+def forecast_smooth(spark, sf_dir):
+    """The same from smooth daily curves by segment and kind of day."""
+    return _chain(spark, sf_dir, _smooth_trend)
+
+
+def forecast_scores(spark, sf_dir):
+    """Training errors of the logs, by trend and segment, before and after the residual model."""
+    parts = []
+    for name, trend in (("forest", _forest_trend), ("smooth", _smooth_trend)):
+        df = stage(_chain(spark, sf_dir, trend), f"forecast_{name}").where(F.col("data_set") == 0)
+        for s in SEGMENTS:
+            named = df.withColumns({"trend": F.lit(name), "segment": F.lit(s)})
+            before = scoring.rmse(named, ["trend", "segment"], f"log_{s}", f"log_{s}_trend", "trend_rmsle")
+            after = scoring.rmse(named, ["trend", "segment"], f"log_{s}", f"log_{s}_pred", "rmsle")
+            parts.append(before.drop("n").join(after, ["trend", "segment"]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def residual_forest(spark, sf_dir):
     return _forecast(spark, sf_dir, lambda label: trees.forest(label, **SMALL_FOREST))
 
@@ -114,7 +160,7 @@ def stack_out_of_fold(spark, sf_dir):
     targets = inputs.select(*KEYS, TS, "data_set", *[f"log_{s}" for s in SEGMENTS])
     joined = stage(targets.join(forest, [*KEYS, TS]).join(boosted, [*KEYS, TS]), "stack_inputs")
     bases = {s: ([f"log_{s}_rf_pred", f"log_{s}_gb_pred"], f"log_{s}") for s in SEGMENTS}
-    scored, _ = linear.ridge_stack(joined, bases, F.col("data_set") == 0)
+    scored, _ = linear.ridge_stack(joined, bases, (F.col("data_set") == 0) & (fold >= 0))
     return scored.select(*KEYS, TS, *[f"log_{s}_stack_pred" for s in SEGMENTS])
 
 
@@ -148,7 +194,7 @@ def forest_fold_search(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
-        daily_trend_forest, daily_trend_gp, residual_forest, residual_gbt, residual_adaboost,
+        daily_trend_forest, daily_trend_gp, forecast_forest, forecast_smooth, forecast_scores, residual_forest, residual_gbt, residual_adaboost,
         residual_bagged_adaboost, stack_gbt, stack_forest, stack_out_of_fold, feature_importance,
         lag_screening, forest_fold_search,
     )

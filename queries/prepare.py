@@ -25,7 +25,7 @@ def csv_roundtrip(spark, sf_dir):
 
 
 def tagged_union(spark, sf_dir):
-    return fx.tagged(spark, sf_dir)
+    return fx.tagged_parts(spark, sf_dir)
 
 
 def train_test_split_by_tag(spark, sf_dir):
@@ -185,8 +185,7 @@ def holdout_mask(spark, sf_dir):
     day = hours.groupBy(*KEYS, day_of(TS).alias("day")).agg(
         *[F.sum(c).alias(c) for c in fx.COUNTS]
     )
-    held_out = F.col("day") >= F.lit("2024-01-20").cast("date")
-    return grid.null_where(day, held_out, fx.COUNTS)
+    return grid.null_where(day, fx.held_out("day"), fx.COUNTS)
 
 
 QUERIES = {
@@ -340,9 +339,9 @@ WHERE data_set = 0 AND atemp IS NOT NULL AND humidity IS NOT NULL AND windspeed
     "holdout_mask": sql.panel(
         sql.OBS,
         """SELECT user_id, ts::DATE AS day,
-  CASE WHEN ts::DATE < DATE '2024-01-20' THEN sum(casual)::BIGINT END AS casual,
-  CASE WHEN ts::DATE < DATE '2024-01-20' THEN sum(registered)::BIGINT END AS registered,
-  CASE WHEN ts::DATE < DATE '2024-01-20' THEN sum(count)::BIGINT END AS count
+  CASE WHEN day(ts::DATE) <= 19 THEN sum(casual)::BIGINT END AS casual,
+  CASE WHEN day(ts::DATE) <= 19 THEN sum(registered)::BIGINT END AS registered,
+  CASE WHEN day(ts::DATE) <= 19 THEN sum(count)::BIGINT END AS count
 FROM obs GROUP BY 1, 2""",
     ),
 }

@@ -70,11 +70,11 @@ TAGGED = """
 tagged AS (
   SELECT user_id, ts, weather, temp, atemp, humidity, windspeed,
     (isodow(ts) <= 5)::INT AS workingday, 0::INT AS holiday,
-    CASE WHEN ts < TIMESTAMP '2024-01-20' THEN registered END AS registered,
-    CASE WHEN ts < TIMESTAMP '2024-01-20' THEN casual END AS casual,
-    CASE WHEN ts < TIMESTAMP '2024-01-20' THEN count END AS count,
-    (ts >= TIMESTAMP '2024-01-20')::INT AS data_set,
-    CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN 1 END AS submit
+    CASE WHEN day(ts) <= 19 THEN registered END AS registered,
+    CASE WHEN day(ts) <= 19 THEN casual END AS casual,
+    CASE WHEN day(ts) <= 19 THEN count END AS count,
+    (day(ts) > 19)::INT AS data_set,
+    CASE WHEN day(ts) > 19 THEN 1 END AS submit
   FROM obs)"""
 
 GRID = """

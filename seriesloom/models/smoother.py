@@ -1,9 +1,13 @@
 """Smooth daily curves: Gaussian process regression for many series.
 
 Constant mean, squared-exponential correlation, a nugget, and the length scale
-by maximum likelihood over a grid. A group is one series, segment and kind of
-day, so it holds one row per day: a decade is about 2,600 working days. Spark
-spreads the groups, and the grid points of a group, over the tasks.
+by maximum likelihood over a grid. The correlation is written as a sum of
+cosines and sines with equally spaced frequencies, exact to rounding over a
+group's span, so no matrix grows with a group's rows: products of two of these
+functions are again cosines and sines, whose sums over chunks of a group give
+the normal equations, and each group and length scale solves one small system.
+Frequencies needed: about 1.9 times the span in standard deviations times the
+root of theta, and 12 more; 80 for even stamps and the largest theta searched.
 """
 
 from __future__ import annotations
@@ -15,6 +19,25 @@ from pyspark.sql import functions as F
 
 # Length scales searched, evenly spaced in the logarithm over [0.001, 100].
 THETAS = [float(t) for t in np.logspace(-3, 2, 11)]
+# Correlations below exp(-REACH) are rounding.
+REACH = 36.0
+
+
+def frequencies(theta: float, span: float) -> tuple[float, np.ndarray]:
+    """Step between frequencies, and the weight of each multiple of it from 0 on."""
+    period = span + np.sqrt(REACH / theta)
+    step = 2 * np.pi / period
+    multiples = np.arange(int(np.ceil(np.sqrt(4 * theta * REACH) / step)) + 1)
+    weights = np.sqrt(np.pi / theta) / period * np.exp(-((multiples * step) ** 2) / (4 * theta))
+    weights[1:] *= 2
+    return step, weights
+
+
+def _per_group(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with the columns of its group's one row; null keys are groups, too."""
+    named = groups.withColumnsRenamed({k: f"__{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]
+    return df.join(named, same, "left").drop(*[f"__{k}" for k in keys])
 
 
 def smooth(
@@ -24,68 +47,90 @@ def smooth(
     y: str,
     nugget: str,
     thetas: list[float] | None = None,
-    max_points: int = 10_000,
+    chunk: int = 16_384,
 ) -> DataFrame:
     """``keys, x, y_hat, theta`` for every row; rows whose ``y`` is NULL are
     predicted, the others are fitted too.
 
-    The correlation matrix of a group is dense, so a group beyond
-    ``max_points`` observed days (27 years of them) is refused, not thinned.
+    ``nugget`` is positive and the same in all rows of a group. Groups are summed
+    in parts of about ``chunk`` rows, so one may hold any number of them.
     """
-    key_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    key_schema = ", ".join(f"`{k}` {key_types[k]}" for k in keys)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    key_schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
+    grid = thetas or THETAS
     rows = df.select(*keys, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"),
                      F.col(nugget).cast("double").alias("nugget"))
+    rows = rows.withColumn("y", F.when(F.col("x").isNotNull(), F.col("y")))
+    seen = F.when(F.col("y").isNotNull(), F.col("x"))
 
-    def scale(values):
-        spread = values.std()
-        return values.mean(), spread if spread > 0 else 1.0
-
-    def solve(xs, ys, noise, theta):
-        """Centre, spread and dual weights of the fit, and its log likelihood."""
-        n = len(xs)
-        if n > max_points:
-            raise ValueError(f"{n} observed days in one group, more than {max_points}")
-        x0, dx = scale(xs)
-        y0, dy = scale(ys)
-        u, v = (xs - x0) / dx, (ys - y0) / dy
-        corr = np.exp(-theta * (u[:, None] - u[None, :]) ** 2) + noise * np.eye(n)
-        factor = np.linalg.cholesky(corr)
-        ones, target = np.linalg.solve(factor, np.column_stack([np.ones(n), v])).T
-        mean = (ones @ target) / (ones @ ones)
-        rest = target - mean * ones
-        variance = max(rest @ rest / n, np.finfo(float).tiny)
-        likelihood = -np.log(variance) - 2.0 / n * np.log(np.diag(factor)).sum()
-        return (x0, dx, y0, dy, u, mean, np.linalg.solve(factor.T, rest)), likelihood
-
-    def score(pdf: pd.DataFrame) -> pd.DataFrame:
-        _, likelihood = solve(
-            pdf["x"].to_numpy(), pdf["y"].to_numpy(), pdf["nugget"].iloc[0], pdf["theta"].iloc[0]
-        )
-        return pdf[[*keys, "theta"]].iloc[:1].assign(likelihood=likelihood)
-
-    def predict(pdf: pd.DataFrame) -> pd.DataFrame:
-        seen = pdf["y"].notna().to_numpy()
-        out = pdf[[*keys, "x", "theta"]].copy()
-        if not seen.any():
-            return out.assign(y_hat=np.nan)[[*keys, "x", "y_hat", "theta"]]
-        xs = pdf["x"].to_numpy()
-        (x0, dx, y0, dy, u, mean, dual), _ = solve(
-            xs[seen], pdf["y"].to_numpy()[seen], pdf["nugget"].iloc[0], pdf["theta"].iloc[0]
+    def spread(values):
+        return F.when(F.stddev_pop(values) > 0, F.stddev_pop(values)).otherwise(1.0)
+
+    extent = rows.groupBy(*keys).agg(
+        F.avg(seen).alias("x0"), spread(seen).alias("dx"), F.avg("y").alias("y0"), spread("y").alias("dy"),
+        (F.max("x") - F.min("x")).alias("range"), F.count("y").alias("n"),
+    )
+    placed = _per_group(rows, extent, keys).withColumns(
+        {
+            "u": (F.col("x") - F.col("x0")) / F.col("dx"),
+            "v": (F.col("y") - F.col("y0")) / F.col("dy"),
+            "span": F.col("range") / F.col("dx"),
+            "part": F.expr(f"pmod(xxhash64(x, y), greatest(1, ceil(n / {chunk})))"),
+        }
+    )
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Of one part: sums of all cosines and sines, plain up to twice the highest, times v up to it."""
+        u, v = pdf["u"].to_numpy(), pdf["v"].to_numpy()
+        found = []
+        for theta in grid:
+            step, weights = frequencies(theta, pdf["span"].iloc[0])
+            angle = np.outer(np.arange(2 * len(weights) - 1), step * u)
+            cos, sin, m = np.cos(angle), np.sin(angle), len(weights)
+            found.append(np.concatenate([cos.sum(axis=1), sin.sum(axis=1), cos[:m] @ v, sin[:m] @ v]))
+        head = pdf[[*keys, "span", "nugget"]].iloc[[0] * len(grid)]
+        return head.assign(theta=grid, n=len(u), v1=v.sum(), vv=v @ v, sums=found)
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Likelihood, mean and weights of the functions, for one group and theta."""
+        noise, n, v1, vv = pdf["nugget"].iloc[0], pdf["n"].sum(), pdf["v1"].sum(), pdf["vv"].sum()
+        step, weights = frequencies(pdf["theta"].iloc[0], pdf["span"].iloc[0])
+        m = len(weights)
+        cos, sin, v_cos, v_sin = np.split(np.sum(np.stack(pdf["sums"]), axis=0), [2 * m - 1, 4 * m - 2, 5 * m - 2])
+        i, k = np.indices((m, m))
+        apart, both = np.abs(i - k), i + k
+        mixed = (sin[both] + np.sign(i - k) * sin[apart]) / 2
+        gram = np.block([[(cos[apart] + cos[both]) / 2, mixed.T], [mixed, (cos[apart] - cos[both]) / 2]])
+        size = np.sqrt(np.concatenate([weights, weights]))
+        factor = np.linalg.cholesky(size[:, None] * gram * size + noise * np.eye(2 * m))
+        ones, target = np.linalg.solve(
+            factor, np.column_stack([size * np.concatenate([cos[:m], sin[:m]]), size * np.concatenate([v_cos, v_sin])])
+        ).T
+        mean = (v1 - ones @ target) / (n - ones @ ones)
+        rest = (vv - target @ target - mean * (v1 - ones @ target)) / noise
+        variance = max(rest / n, np.finfo(float).tiny)
+        log_det = (n - 2 * m) * np.log(noise) + 2 * np.log(np.diag(factor)).sum()
+        coefs = size * np.linalg.solve(factor.T, target - mean * ones)
+        return pdf[[*keys, "theta"]].iloc[:1].assign(
+            likelihood=-np.log(variance) - log_det / n, step=step, mean=mean, coefs=[coefs]
         )
-        near = np.exp(-pdf["theta"].iloc[0] * ((xs - x0)[:, None] / dx - u[None, :]) ** 2)
-        return out.assign(y_hat=y0 + dy * (mean + near @ dual))[[*keys, "x", "y_hat", "theta"]]
-
-    grid = F.explode(F.array(*[F.lit(t) for t in thetas or THETAS])).alias("theta")
-    scored = (
-        rows.where(F.col("y").isNotNull())
-        .select(*keys, "x", "y", "nugget", grid)
-        .groupBy(*keys, "theta")
-        .applyInPandas(score, f"{key_schema}, theta double, likelihood double")
+
+    parts = placed.where(F.col("v").isNotNull()).groupBy(*keys, "part").applyInPandas(
+        sums, f"{key_schema}, span double, nugget double, theta double, n long, v1 double, vv double, sums array<double>"
     )
-    best = scored.groupBy(*keys).agg(F.max_by("theta", "likelihood").alias("theta"))
-    chosen = rows.join(best, keys, "left")
-    smoothed = chosen.groupBy(*keys).applyInPandas(
-        predict, f"{key_schema}, x double, y_hat double, theta double"
+    solved = parts.groupBy(*keys, "theta").applyInPandas(
+        solve, f"{key_schema}, theta double, likelihood double, step double, mean double, coefs array<double>"
+    )
+    best = solved.groupBy(*keys).agg(F.max_by(F.struct("theta", "step", "mean", "coefs"), "likelihood").alias("fit"))
+    m = F.expr("size(fit.coefs) div 2")
+    angle = F.col("fit.step") * F.col("u")
+
+    def term(j):
+        return F.get("fit.coefs", j) * F.cos(j * angle) + F.get("fit.coefs", j + m) * F.sin(j * angle)
+
+    places = F.transform(F.sequence(F.lit(0), m.cast("int") - 1), lambda j: j)
+    curve = F.aggregate(F.transform(places, lambda j: term(j.cast("int"))), F.lit(0.0), lambda s, t: s + t)
+    level = F.col("y0") + F.col("dy") * (F.col("fit.mean") + curve)
+    return _per_group(placed, best, keys).select(
+        *keys, "x", F.when(F.col("fit").isNotNull(), level).alias("y_hat"), F.col("fit.theta").alias("theta")
     )
-    return smoothed.withColumn("y_hat", F.when(~F.isnan("y_hat"), F.col("y_hat")))

@@ -113,10 +113,15 @@ def daily_rollup(
     ts: str,
     sums: list[str],
     means: list[str],
+    midnights: list[str] | None = None,
 ) -> DataFrame:
-    """Hourly to daily: sums and means; a day without values stays NULL."""
+    """Hourly to daily: sums and means; a day without values stays NULL.
+
+    ``midnights`` are columns that keep the value stamped at the day's midnight.
+    """
+    picks = [F.max(F.when(F.hour(ts) == 0, F.col(c))).alias(c) for c in midnights or []]
     return hourly.groupBy(*keys, day_of(ts).alias("day")).agg(
-        *[F.sum(c).alias(c) for c in sums], *[F.avg(c).alias(c) for c in means]
+        *[F.sum(c).alias(c) for c in sums], *[F.avg(c).alias(c) for c in means], *picks
     )
 
 

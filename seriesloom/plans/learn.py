@@ -74,7 +74,7 @@ def smooth_trend(
         ]
     )
     long = day.select(
-        *spec.keys, "day", F.col("workingday").cast("int").alias("workingday"),
+        *spec.keys, "day", (F.col("workingday") >= 0.5).cast("int").alias("workingday"),
         elapsed.alias("x"), F.explode(entries).alias("e"),
     ).select(*spec.keys, "day", "workingday", "x", "e.segment", "e.y", "e.nugget")
     group = [*spec.keys, "segment", "workingday"]

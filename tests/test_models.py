@@ -130,10 +130,16 @@ def test_smoother_against_the_dense_formula(spark):
     assert np.allclose([r.y_hat for r in out if r.k == "one"], 2.0)
 
 
-def test_a_group_beyond_the_dense_limit_is_refused(spark):
-    df = spark.range(6).selectExpr("'a' AS k", "double(id) AS x", "double(id) AS y", "0.5D AS nugget")
-    with pytest.raises(Exception, match="more than 5"):
-        smoother.smooth(df, ["k"], "x", "y", "nugget", [1.0], max_points=5).collect()
+def test_smoother_takes_groups_of_any_size_and_parts_change_nothing(spark):
+    df = spark.range(20_000).selectExpr(
+        "if(id % 2 = 0, 'a', NULL) AS k", "double(id) AS x", "if(id % 7 = 3, NULL, sin(id / 900)) AS y", "0.5D AS nugget"
+    )
+    whole, cut = (
+        smoother.smooth(df, ["k"], "x", "y", "nugget", [10.0, 100.0], chunk=c).orderBy("x").collect() for c in (16_384, 1_000)
+    )
+    assert len(whole) == 20_000
+    assert np.allclose([r.y_hat for r in whole], [r.y_hat for r in cut])
+    assert np.allclose([r.y_hat for r in whole], np.sin(np.arange(20_000) / 900), atol=0.05)
 
 
 def test_a_missing_feature_is_an_error(spark):

@@ -46,7 +46,17 @@ def plan_of(df):
 def test_grid_needs_no_join(spark):
     plan = plan_of(registry.QUERIES["hourly_grid"](spark, str(SF)))
     assert "Join" not in plan
-    assert "PushedFilters: [IsNotNull(ts)" in plan
+    assert plan.count("FileScan parquet") == 1
+
+
+def test_parts_read_their_own_rows_only(spark):
+    plan = plan_of(registry.QUERIES["tagged_union"](spark, str(SF)))
+    assert plan.count("FileScan parquet") == plan.count("PushedFilters: [IsNotNull(ts)") == 2
+
+
+def test_midnight_values_need_one_scan(spark):
+    plan = plan_of(registry.QUERIES["midnight_pick"](spark, str(SF)))
+    assert "Join" not in plan and plan.count("FileScan parquet") == 1
 
 
 def test_scans_read_only_what_is_used(spark):
