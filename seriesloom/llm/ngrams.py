@@ -159,9 +159,11 @@ class Level:
         return self.open[i]
 
     def each(self, shard: np.ndarray) -> Iterator[tuple[dict, np.ndarray, int]]:
-        for i in np.unique(shard):
-            if i >= 0:
-                yield self.shard(int(i)), np.flatnonzero(shard == i), int(i)
+        """Each shard that is asked, and where; one pass over the rows, whatever the number of shards."""
+        order = np.argsort(shard.astype(np.int16) if len(self.files) < 1 << 15 else shard, kind="stable")
+        cuts = np.searchsorted(shard[order], np.arange(len(self.files) + 1))
+        for i in np.flatnonzero(np.diff(cuts)):
+            yield self.shard(int(i)), order[cuts[i] : cuts[i + 1]], int(i)
 
 
 class Vocabulary(Level):
