@@ -68,8 +68,8 @@ def trend_rmse(spark, sf_dir):
 
 def daily_to_hourly_asof(spark, sf_dir):
     """Daily totals on hours: days without a row inherit the last one."""
-    hourly = fx.gridded(spark, sf_dir).select(*KEYS, TS)
-    observed = fx.tagged(spark, sf_dir)
+    observed = stage(fx.tagged(spark, sf_dir).select(*KEYS, TS, *SEGMENTS), "hours")
+    hourly = grid.regular_grid(observed.select(*KEYS, TS), KEYS, TS)
     sums = grid.daily_rollup(observed, KEYS, TS, ["registered", "casual"], [])
     return trend.daily_to_hourly(hourly, sums, KEYS, TS, ["registered", "casual"])
 
@@ -242,22 +242,19 @@ def weighted_median_rowwise(spark, sf_dir):
 
 
 def _lag_scores(spark, sf_dir):
-    df = _residuals(spark, sf_dir).select(*KEYS, TS, "data_set", "temp", "log_registered_diff", "log_casual_diff")
-    fan = lags.lag_fan_out(df, KEYS, TS, "temp").where(F.col("data_set") == 0)
-    names = [lags.lag_name("temp", k) for k in range(1, 25)]
-    one = fan.agg(*[F.corr(n, f"log_{s}_diff").alias(f"{s}__{n}") for s in SEGMENTS for n in names])
-    entries = F.array(
-        *[
-            F.struct(F.lit(s).alias("segment"), F.lit(n).alias("feature"), F.col(f"{s}__{n}").alias("r"))
-            for s in SEGMENTS
-            for n in names
-        ]
-    )
-    return one.select(F.explode(entries).alias("e")).select("e.segment", "e.feature", "e.r")
+    df = _residuals(spark, sf_dir).select(*KEYS, TS, "data_set", *fx.WEATHER, "log_registered_diff", "log_casual_diff")
+    fan = df
+    for base in fx.WEATHER:  # the windows share their order: one sort
+        fan = lags.lag_fan_out(fan, KEYS, TS, base)
+    fan = fan.where(F.col("data_set") == 0)
+    names = [n for base in fx.WEATHER for n in [base, *[lags.lag_name(base, k) for k in range(1, 25)]]]
+    scores = scoring.correlations(fan, names, [f"log_{s}_diff" for s in SEGMENTS])
+    segment = F.regexp_extract("y", "log_(.*)_diff", 1).alias("segment")
+    return scores.select(segment, F.col("x").alias("feature"), "r")
 
 
 def lag_correlation(spark, sf_dir):
-    """Correlation of every temperature lag with the residuals, in one aggregate."""
+    """Correlation of every weather column and its lags with the residuals, in one pass."""
     return _rounded(_lag_scores(spark, sf_dir), ["r"])
 
 
@@ -399,14 +396,15 @@ def _stack_score(s):
 
 
 _LAG_PAIRS = "\nUNION ALL ".join(
-    f"SELECT '{s}' AS segment, 'temp_{k:02d}h_ago' AS feature, corr(temp_{k:02d}h_ago, log_{s}_diff) AS r FROM fan"
+    f"SELECT '{s}' AS segment, '{c}' AS feature, corr({c}, log_{s}_diff) AS r FROM fan"
     for s in SEGMENTS
-    for k in range(1, 25)
+    for base in fx.WEATHER
+    for c in [base, *[f"{base}_{k:02d}h_ago" for k in range(1, 25)]]
 )
 _FAN = f"""
 fan_all AS (
-  SELECT data_set, log_registered_diff, log_casual_diff,
-    {", ".join(f"lag(temp, {k}) OVER w AS temp_{k:02d}h_ago" for k in range(1, 25))}
+  SELECT data_set, log_registered_diff, log_casual_diff, {", ".join(fx.WEATHER)},
+    {", ".join(f"lag({c}, {k}) OVER w AS {c}_{k:02d}h_ago" for c in fx.WEATHER for k in range(1, 25))}
   FROM residuals WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 fan AS (SELECT * FROM fan_all WHERE data_set = 0),
 lag_scores AS ({_LAG_PAIRS})"""

@@ -119,7 +119,7 @@ def kept_features(
     df = features(spark, sf_dir)
     if not full:
         df = df.select(
-            *KEYS, TS, "hour", "workingday", "data_set", "submit", "bad_day", "temp",
+            *KEYS, TS, "hour", "workingday", "data_set", "submit", "bad_day", *WEATHER,
             *[f"{p}{c}" for c in COUNTS for p in ("", "log_")], *[f"{c}_filled" for c in COUNTS],
         )
     if previous:

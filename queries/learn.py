@@ -1,5 +1,4 @@
-"""Queries that fit models. Rounds and trees are kept few; the settings of the
-original stand in ``seriesloom.models.trees``."""
+"""Queries that fit models. The settings of the original stand in ``seriesloom.models.trees``."""
 
 from __future__ import annotations
 
@@ -9,18 +8,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from queries import fixtures as fx
+from queries import sql
 from seriesloom.functions.scalars import fold_label
 from seriesloom.models import smoother, trees
 from seriesloom.models.adaboost import AdaBoostR2, BaggedAdaBoost
 from seriesloom.models.search import fold_search
-from seriesloom.operators import linear, scoring
+from seriesloom.operators import linear, predictions, scoring
 from seriesloom.plans import forecast, learn
-from seriesloom.session import stage
+from seriesloom.session import scratch_path, stage
+from seriesloom.sources import tables
 
 KEYS, TS, SEGMENTS, SPEC = fx.KEYS, fx.TS, fx.SEGMENTS, fx.SPEC
-SMALL_FOREST = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 4, "featureSubsetStrategy": "all"}
-DAILY_FOREST = {"numTrees": 10, "maxDepth": 6, "featureSubsetStrategy": "0.2"}
-SMALL_BOOSTED = {"maxIter": 10, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.7}
+# Settings of the registered fits: all of them cross a checkpoint of their weights or
+# residuals. Those of the original are in ``seriesloom.models.trees``.
+SMALL_FOREST = {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 4, "featureSubsetStrategy": "all"}
+DAILY_FOREST = {"numTrees": 20, "maxDepth": 8, "featureSubsetStrategy": "0.2"}
+SMALL_BOOSTED = {"maxIter": 30, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.7}
+TREE = {"rate": 0.1, "maxDepth": 4, "minInstancesPerNode": 4}
+BOOST = {"rounds": 20, **TREE}
+BAGS = {"bags": 5, "rounds": 10, **TREE}
+# Base models of the stacks and of the search are refitted per fold and segment.
+FEW = {"forest": 10, "gbt": 10, "adaboost": 6, "bags": 2}
+FOLDS = [0, 1]
+
+
+def _bags(label, **settings):
+    return BaggedAdaBoost(label, [*KEYS, TS], **settings)
+
+
+# The three models that the stacks combine.
+BASES = {
+    "gb": lambda label: trees.boosted(label, maxIter=FEW["gbt"], maxDepth=4),
+    "rf": lambda label: trees.forest(label, numTrees=FEW["forest"], maxDepth=6),
+    "ada": lambda label: _bags(label, bags=FEW["bags"], rounds=FEW["adaboost"], **TREE),
+}
+OWN = {s: [f"log_{s}_{m}_pred" for m in BASES] for s in SEGMENTS}
 
 
 def _inputs(spark, sf_dir):
@@ -107,35 +129,47 @@ def residual_gbt(spark, sf_dir):
 
 
 def residual_adaboost(spark, sf_dir):
-    return _forecast(
-        spark, sf_dir, lambda label: AdaBoostR2(label, rounds=3, rate=0.1, maxDepth=4, minInstancesPerNode=4)
-    )
+    return _forecast(spark, sf_dir, lambda label: AdaBoostR2(label, **BOOST))
 
 
 def residual_bagged_adaboost(spark, sf_dir):
-    def make(label):
-        return BaggedAdaBoost(
-            label, [*KEYS, TS], bags=2, rounds=2, rate=0.1, maxDepth=4, minInstancesPerNode=4
-        )
+    return _forecast(spark, sf_dir, lambda label: _bags(label, **BAGS))
+
 
-    return _forecast(spark, sf_dir, make)
+def asked_rows_complete(spark, sf_dir):
+    """Test hours and panel days that are asked for, and those that got a prediction of both segments."""
+    hours = residual_forest(spark, sf_dir).where("data_set = 1").select(F.lit("hours").alias("part"), "count_pred")
+    asked_hours = fx.tagged(spark, sf_dir).where("submit = 1").select(F.lit("hours").alias("part"))
+    total = F.col("registered_total") + F.col("casual_total")
+    days = daily_trend_forest(spark, sf_dir).select(F.lit("days").alias("part"), total.alias("count_pred"))
+    asked_days = fx.gridded(spark, sf_dir).select(*KEYS, F.to_date(TS).alias("day")).distinct().select(F.lit("days").alias("part"))
+    asked = asked_hours.unionByName(asked_days).groupBy("part").agg(F.count("*").alias("asked"))
+    predicted = hours.unionByName(days).groupBy("part").agg(F.count("count_pred").alias("predicted"))
+    return asked.join(predicted, "part", "left")
 
 
 def _stack_inputs(spark, sf_dir):
-    """Features next to the fit-free models' predictions."""
-    df = fx.residuals(fx.kept_features(spark, sf_dir, full=True)).withColumns(
-        {f"log_{s}_average_pred": F.log1p(F.col(f"{s}_total") / 24) for s in SEGMENTS}
-        | {f"log_{s}_profile_pred": F.col(f"log_{s}_trend") for s in SEGMENTS}
-    )
-    own = {s: [f"log_{s}_average_pred", f"log_{s}_profile_pred"] for s in SEGMENTS}
-    extra = [c for cols in own.values() for c in cols]
-    return learn.residual_inputs(df, SPEC, extra), own
+    """Features next to the out-of-fold predictions of the three fitted models, each
+    written to the prediction table and read back from it."""
+    inputs = _inputs(spark, sf_dir)
+    path = scratch_path(spark, "predictions")
+    for name, make in BASES.items():
+        preds = learn.out_of_fold(inputs, SPEC, make, fold_label(TS), FOLDS, name)
+        columns = {(name, s): f"log_{s}_{name}_pred" for s in SEGMENTS}
+        tables.write_predictions(predictions.long_predictions(preds, KEYS, TS, columns), path, KEYS, TS)
+    table = tables.read_predictions(spark, path)
+    wide = predictions.pivot_predictions(table, KEYS, TS, list(BASES), SEGMENTS)
+    joined = learn.usable(inputs.join(wide, [*KEYS, TS], "left"), [c for own in OWN.values() for c in own])
+    return stage(joined, "stack_inputs")
+
+
+def _held_out():
+    """Rows that a base model predicted without having seen them."""
+    return fold_label(TS) >= 0
 
 
 def _tree_stack(spark, sf_dir, make):
-    trees.ready(spark)
-    inputs, own = _stack_inputs(spark, sf_dir)
-    df = learn.tree_stack(inputs, SPEC, own, make)
+    df, _ = learn.tree_stack(_stack_inputs(spark, sf_dir), SPEC, OWN, make, _held_out())
     return df.select(*KEYS, TS, "data_set", *[f"log_{s}_stack_pred" for s in SEGMENTS])
 
 
@@ -148,20 +182,14 @@ def stack_forest(spark, sf_dir):
 
 
 def stack_out_of_fold(spark, sf_dir):
-    """Ridge stack of a forest and boosted trees, each predicted out of fold."""
-    inputs = _inputs(spark, sf_dir)
-    fold = fold_label(TS)
-    forest = learn.out_of_fold(
-        inputs, SPEC, lambda label: trees.forest(label, numTrees=5, maxDepth=5), fold, [0, 1], "rf"
-    )
-    boosted = learn.out_of_fold(
-        inputs, SPEC, lambda label: trees.boosted(label, maxIter=4, maxDepth=3), fold, [0, 1], "gb"
-    )
-    targets = inputs.select(*KEYS, TS, "data_set", *[f"log_{s}" for s in SEGMENTS])
-    joined = stage(targets.join(forest, [*KEYS, TS]).join(boosted, [*KEYS, TS]), "stack_inputs")
-    bases = {s: ([f"log_{s}_rf_pred", f"log_{s}_gb_pred"], f"log_{s}") for s in SEGMENTS}
-    scored, _ = linear.ridge_stack(joined, bases, (F.col("data_set") == 0) & (fold >= 0))
-    return scored.select(*KEYS, TS, *[f"log_{s}_stack_pred" for s in SEGMENTS])
+    """Ridge stack of the three fitted models, without and with a constant column."""
+    df = _stack_inputs(spark, sf_dir).withColumn("offset", F.lit(1.0))
+    train = (F.col("data_set") == 0) & _held_out()
+    plain = {s: (OWN[s], f"log_{s}") for s in SEGMENTS}
+    offset = {s: ([*OWN[s], "offset"], f"log_{s}") for s in SEGMENTS}
+    df, _ = linear.ridge_stack(df, plain, train)
+    df, _ = linear.ridge_stack(df, offset, train, out="log_{}_stack_offset_pred")
+    return df.select(*KEYS, TS, *[f"log_{s}_{c}_pred" for s in SEGMENTS for c in ("stack", "stack_offset")])
 
 
 def feature_importance(spark, sf_dir):
@@ -172,23 +200,77 @@ def feature_importance(spark, sf_dir):
     return scoring.ranked_pairs(trees.importances(models, SPEC.hourly_features, spark), SEGMENTS)
 
 
+def model_importances(spark, sf_dir):
+    """Importances of boosted trees, AdaBoost, the daily forest and a stack, ranked per model."""
+    inputs = _stack_inputs(spark, sf_dir)
+    parts = {}
+    for name, make in {
+        "gbt": lambda label: trees.boosted(label, maxIter=FEW["gbt"], maxDepth=4),
+        "adaboost": lambda label: AdaBoostR2(label, rounds=FEW["adaboost"], **TREE),
+    }.items():
+        _, models = learn.predict_residuals(inputs, SPEC, make)
+        parts[name] = trees.importances(models, SPEC.hourly_features, spark)
+    days = stage(learn.filled_daily(fx.features(spark, sf_dir), SPEC), "daily_inputs")
+    parts["daily_forest"] = trees.importances(learn.daily_forests(days, SPEC, **DAILY_FOREST), SPEC.daily_features, spark)
+    _, models = learn.tree_stack(inputs, SPEC, OWN, BASES["rf"], _held_out())
+    parts["stack_forest"] = reduce(
+        DataFrame.unionByName,
+        [trees.importances({s: models[s]}, [*SPEC.hourly_features, *OWN[s]], spark) for s in SEGMENTS],
+    )
+    ranked = [scoring.ranked_pairs(p, SEGMENTS).withColumn("model", F.lit(name)) for name, p in parts.items()]
+    return reduce(DataFrame.unionByName, ranked)
+
+
 def lag_screening(spark, sf_dir):
-    """Importance of one weather column and each of its 24 hourly lags."""
+    """Importance of every weather column and each of its 24 hourly lags."""
+    targets = [f"log_{s}_diff" for s in SEGMENTS]
     residuals = fx.residuals(fx.kept_features(spark, sf_dir, full=True))
-    scores = learn.screen_lags(
-        residuals, SPEC, "windspeed", lambda label: trees.forest(label, **SMALL_FOREST)
-    )
-    return scoring.ranked_pairs(scores, SEGMENTS)
+    residuals = stage(residuals.select(*KEYS, TS, "data_set", *SPEC.covariates, *targets), "screened")
+    parts = []
+    for base in SPEC.covariates:
+        scores = learn.screen_lags(
+            residuals, SPEC, base, lambda label: trees.forest(label, numTrees=FEW["forest"], maxDepth=6)
+        )
+        parts.append(scoring.ranked_pairs(scores, SEGMENTS).withColumn("base", F.lit(base)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def forest_fold_search(spark, sf_dir):
-    """Two forest settings on both hold-out folds."""
-    inputs = _inputs(spark, sf_dir).withColumn("fold", fold_label(TS))
-    rows = trees.assemble(learn.training_rows(inputs, "log_registered_diff"), SPEC.hourly_features)
-    candidates = {
-        f"depth={d}": trees.forest("log_registered_diff", numTrees=5, maxDepth=d) for d in (3, 6)
-    }
-    return fold_search(rows.where(F.col("fold").isNotNull()), "fold", "log_registered_diff", candidates)
+    """Two forest settings on both hold-out folds, for both segments."""
+    inputs = _inputs(spark, sf_dir).withColumn("fold", fold_label(TS)).where("fold IS NOT NULL")
+    parts = []
+    for s in SEGMENTS:
+        label = f"log_{s}_diff"
+        rows = trees.assemble(learn.training_rows(inputs, label), SPEC.hourly_features)
+        candidates = {f"depth={d}": trees.forest(label, numTrees=5, maxDepth=d) for d in (3, 6)}
+        parts.append(fold_search(rows, "fold", label, candidates).withColumn("segment", F.lit(s)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def model_fold_search(spark, sf_dir):
+    """Hold-out errors of every family, segment and fold, appended to the score log and read back.
+
+    Residual models are scored on ``log_S_diff``, stacks and the daily forest on ``log_S``.
+    """
+    path = scratch_path(spark, "cv_scores")
+    hours = _stack_inputs(spark, sf_dir).withColumn("fold", fold_label(TS)).where("fold IS NOT NULL")
+    days = stage(learn.filled_daily(fx.features(spark, sf_dir), SPEC), "daily_inputs")
+    days = days.withColumn("fold", fold_label("day")).where("fold IS NOT NULL")
+    for s in SEGMENTS:
+        diff, log = f"log_{s}_diff", f"log_{s}"
+        rows = trees.assemble(learn.training_rows(hours, diff), SPEC.hourly_features)
+        candidates = {name: make(diff) for name, make in BASES.items()}
+        candidates["adaboost"] = AdaBoostR2(diff, rounds=FEW["adaboost"], **TREE)
+        scores = [fold_search(rows, "fold", diff, candidates, keep=[*KEYS, TS])]
+        held = learn.training_rows(hours, log).where(_held_out())
+        stacks = {"stack_rf": BASES["rf"](log), "stack_gb": BASES["gb"](log)}
+        scores.append(fold_search(trees.assemble(held, [*SPEC.hourly_features, *OWN[s]]), "fold", log, stacks))
+        daily = trees.assemble(learn.training_rows(days, log), SPEC.daily_features)
+        scores.append(fold_search(daily, "fold", log, {"daily_forest": trees.forest(log, **DAILY_FOREST)}))
+        ridge = linear.ridge_fold_scores(held.withColumn("segment", F.lit(s)), ["segment"], "fold", OWN[s], log, [1.0])
+        scores.append(ridge.select(F.lit("stack_ridge").alias("params"), "fold", "mse", F.col("n").cast("bigint").alias("n")))
+        tables.append_scores(reduce(DataFrame.unionByName, scores).withColumn("segment", F.lit(s)), path)
+    return spark.read.parquet(path)
 
 
 QUERIES = {
@@ -196,9 +278,15 @@ QUERIES = {
     for f in (
         daily_trend_forest, daily_trend_gp, forecast_forest, forecast_smooth, forecast_scores, residual_forest, residual_gbt, residual_adaboost,
         residual_bagged_adaboost, stack_gbt, stack_forest, stack_out_of_fold, feature_importance,
-        lag_screening, forest_fold_search,
+        lag_screening, forest_fold_search, asked_rows_complete, model_importances, model_fold_search,
     )
 }
 
 # Fits have no SQL equivalent; tests/test_models.py checks their invariants.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "asked_rows_complete": sql.panel(
+        sql.GRID,
+        """SELECT 'hours' AS part, count(*) AS asked, count(*) AS predicted FROM tagged WHERE submit = 1
+UNION ALL SELECT 'days', count(*), count(*) FROM (SELECT DISTINCT user_id, ts::DATE FROM gridded)""",
+    )
+}

@@ -17,14 +17,16 @@ def fold_search(
     label: str,
     candidates: dict[str, Estimator],
     parallelism: int = 4,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """``(params, fold, mse, n)`` for every candidate and fold.
 
     Rows with a negative fold always train and are never scored. Each fit and
     each score runs on Spark; only the scores come back. ``parallelism`` of
-    them are in flight at once, over one persisted table.
+    them are in flight at once, over one persisted table. ``keep`` names further
+    columns that the candidates need, such as the row keys of bags.
     """
-    rows = df.select("features", label, fold).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.select("features", label, fold, *(keep or [])).persist(StorageLevel.MEMORY_AND_DISK)
     folds = [r[0] for r in rows.where(F.col(fold) >= 0).select(fold).distinct().collect()]
 
     @inheritable_thread_target(df.sparkSession)
@@ -37,7 +39,9 @@ def fold_search(
         return name, int(k), mse, n
 
     tasks = [(name, k) for name in candidates for k in sorted(folds)]
-    with ThreadPoolExecutor(parallelism) as pool:
-        scores = list(pool.map(score, tasks))
-    rows.unpersist()
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            scores = list(pool.map(score, tasks))
+    finally:
+        rows.unpersist()
     return df.sparkSession.createDataFrame(scores, "params string, fold int, mse double, n bigint")

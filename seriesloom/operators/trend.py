@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.functions.scalars import day_of
-
 
 def moving_average(
     daily: DataFrame, keys: list[str], day: str, cols: list[str], span: int = 3, suffix: str = "_ma"
@@ -23,22 +21,17 @@ def daily_to_hourly(
     """Give each hour the daily values of its day, or of the last earlier day
     that has them.
 
-    The backward fill-in runs on days, a twenty-fourth of the hours: the days
-    present on the hourly side are reduced first, filled there, and joined back
-    by (series, day).
+    A day's row is put ahead of its hours and carried forward: one shuffle by
+    series, no join. The order runs over the hours of one series, which the
+    calendar bounds.
     """
-    days = hourly.select(*keys, day_of(ts).alias("day")).distinct()
-    # Days known only to the daily side still lend their value to later ones.
-    known = daily.select(*keys, "day", *[F.col(c) for c in cols])
-    both = days.join(known, [*keys, "day"], "full_outer")
+    values = [F.col(c).alias(f"__{c}") for c in cols]
+    stamped = daily.select(*keys, F.col("day").cast("timestamp_ntz").alias(ts), F.lit(0).alias("__hour"), *values)
+    both = hourly.withColumn("__hour", F.lit(1)).unionByName(stamped, allowMissingColumns=True)
     upto = (
         Window.partitionBy(*keys)
-        .orderBy("day")
+        .orderBy(F.to_date(ts), "__hour")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    filled = both.withColumns({c: F.last(c, True).over(upto) for c in cols})
-    return (
-        hourly.withColumn("__day", day_of(ts))
-        .join(filled.withColumnRenamed("day", "__day"), [*keys, "__day"], "left")
-        .drop("__day")
-    )
+    filled = both.withColumns({c: F.last(f"__{c}", True).over(upto) for c in cols})
+    return filled.where("__hour = 1").drop("__hour", *[f"__{c}" for c in cols])

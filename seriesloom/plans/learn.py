@@ -44,12 +44,19 @@ def filled_daily(feats: DataFrame, spec: PanelSpec) -> DataFrame:
     return day.fillna(0, subset=spec.daily_features)
 
 
+def daily_forests(inputs: DataFrame, spec: PanelSpec, **params) -> dict:
+    """One fitted forest per segment on the training days."""
+    rows = trees.assemble(inputs, spec.daily_features)
+    return {
+        s: trees.forest(f"log_{s}", f"log_{s}_hat", **params).fit(training_rows(rows, f"log_{s}"))
+        for s in spec.segments
+    }
+
+
 def forest_trend(inputs: DataFrame, spec: PanelSpec, **params) -> DataFrame:
     """``keys, day, S_total`` from one forest per segment on the daily inputs."""
     rows = trees.assemble(inputs, spec.daily_features)
-    for s in spec.segments:
-        train = rows.where((F.col("data_set") == TRAIN) & F.col(f"log_{s}").isNotNull())
-        model = trees.forest(f"log_{s}", f"log_{s}_hat", **params).fit(train)
+    for model in daily_forests(inputs, spec, **params).values():
         rows = model.transform(rows)
     totals = [exp_minus_one(f"log_{s}_hat").alias(f"{s}_total") for s in spec.segments]
     return rows.select(*spec.keys, "day", *totals)
@@ -138,15 +145,19 @@ def out_of_fold(
     return rows.select(*spec.keys, spec.ts, *wanted)
 
 
-def tree_stack(inputs: DataFrame, spec: PanelSpec, own: dict[str, list[str]], make: MakeEstimator) -> DataFrame:
-    """Stack on all features plus a segment's own base predictions, target ``log_S``."""
+def tree_stack(
+    inputs: DataFrame, spec: PanelSpec, own: dict[str, list[str]], make: MakeEstimator, fit_on: Column
+) -> tuple[DataFrame, dict]:
+    """Stack on all features plus a segment's own base predictions, target ``log_S``,
+    fitted to the training rows that meet ``fit_on``. Also returns the models."""
+    models = {}
     for s in spec.segments:
         label = f"log_{s}"
         rows = trees.assemble(inputs, [*spec.hourly_features, *own[s]])
-        model = make(label).fit(training_rows(rows, label))
-        inputs = model.transform(rows).withColumnRenamed("prediction", f"log_{s}_stack_pred")
+        models[s] = make(label).fit(training_rows(rows, label).where(fit_on))
+        inputs = models[s].transform(rows).withColumnRenamed("prediction", f"log_{s}_stack_pred")
         inputs = inputs.drop("features")
-    return inputs
+    return inputs, models
 
 
 def screen_lags(

@@ -45,7 +45,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared directory that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _STAGED.append(path)
+    return path
 
 
 _STAGED: list[str] = []
@@ -58,7 +60,6 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     pruning and filter pushdown.
     """
     path = scratch_path(df.sparkSession, name)
-    _STAGED.append(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -67,7 +68,7 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
 
 
 def drop_stages(spark: SparkSession) -> int:
-    """Delete the tables ``stage`` wrote in this process, once nothing reads them."""
+    """Delete what was written under ``scratch_path`` in this process, once nothing reads them."""
     dropped = 0
     while _STAGED:
         target = spark._jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
