@@ -169,7 +169,7 @@ def _held_out():
 
 
 def _tree_stack(spark, sf_dir, make):
-    df, _ = learn.tree_stack(_stack_inputs(spark, sf_dir), SPEC, OWN, make, _held_out())
+    df = learn.tree_stack(_stack_inputs(spark, sf_dir), SPEC, OWN, make, _held_out())
     return df.select(*KEYS, TS, "data_set", *[f"log_{s}_stack_pred" for s in SEGMENTS])
 
 
@@ -212,7 +212,7 @@ def model_importances(spark, sf_dir):
         parts[name] = trees.importances(models, SPEC.hourly_features, spark)
     days = stage(learn.filled_daily(fx.features(spark, sf_dir), SPEC), "daily_inputs")
     parts["daily_forest"] = trees.importances(learn.daily_forests(days, SPEC, **DAILY_FOREST), SPEC.daily_features, spark)
-    _, models = learn.tree_stack(inputs, SPEC, OWN, BASES["rf"], _held_out())
+    _, models = learn.fit_tree_stack(inputs, SPEC, OWN, BASES["rf"], _held_out())
     parts["stack_forest"] = reduce(
         DataFrame.unionByName,
         [trees.importances({s: models[s]}, [*SPEC.hourly_features, *OWN[s]], spark) for s in SEGMENTS],

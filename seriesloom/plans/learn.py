@@ -146,11 +146,17 @@ def out_of_fold(
 
 
 def tree_stack(
-    inputs: DataFrame, spec: PanelSpec, own: dict[str, list[str]], make: MakeEstimator, fit_on: Column
+    inputs: DataFrame, spec: PanelSpec, own: dict[str, list[str]], make: MakeEstimator, fit_on: Column | None = None
+) -> DataFrame:
+    """Stack on all features plus a segment's own base predictions, target ``log_S``."""
+    return fit_tree_stack(inputs, spec, own, make, fit_on)[0]
+
+
+def fit_tree_stack(
+    inputs: DataFrame, spec: PanelSpec, own: dict[str, list[str]], make: MakeEstimator, fit_on: Column | None = None
 ) -> tuple[DataFrame, dict]:
-    """Stack on all features plus a segment's own base predictions, target ``log_S``,
-    fitted to the training rows that meet ``fit_on``. Also returns the models."""
-    models = {}
+    """The same with the models, which see the training rows that meet ``fit_on``."""
+    models, fit_on = {}, F.lit(True) if fit_on is None else fit_on
     for s in spec.segments:
         label = f"log_{s}"
         rows = trees.assemble(inputs, [*spec.hourly_features, *own[s]])

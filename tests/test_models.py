@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import fold_label
 from seriesloom.models import smoother, trees
-from seriesloom.models.adaboost import AdaBoostR2, BaggedAdaBoost, poisson_weight
+from seriesloom.models.adaboost import AdaBoostModel, AdaBoostR2, BaggedAdaBoost, poisson_weight
 from seriesloom.models.search import fold_search
 
 SMALL = {"maxDepth": 2, "minInstancesPerNode": 2}
@@ -164,3 +164,33 @@ def test_out_of_fold_rows_are_predicted_by_others(spark):
     assert np.allclose(preds[:5], 0.0)
     assert np.allclose(preds[5:14], 5 / 19) and np.allclose(preds[14:19], 5 / 14)
     assert np.allclose(preds[19:], 5 / 19)
+
+
+def test_all_trees_score_in_one_projection(rows):
+    """Predictions of each tree equal Spark's, and the plan does not grow with the trees."""
+    models = [trees.tree("y", "a2", seed=s, maxDepth=s).fit(rows.withColumn("a2", F.lit(1.0) + F.abs("a"))) for s in range(5)]
+    from pyspark.ml.functions import vector_to_array
+
+    for i, m in enumerate(models):
+        score = trees.score_trees(models, lambda each, i=i: each[:, i])
+        both = m.transform(rows).withColumn("ours", score(vector_to_array("features")))
+        assert both.where("ours <> prediction").count() == 0
+    many = AdaBoostModel(models * 100, [1.0] * 500).transform(rows)
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and many.where("prediction IS NULL").count() == 0
+    assert many.limit(0).count() == 0
+
+
+def test_correlations_equal_the_built_in(spark):
+    from seriesloom.operators.scoring import correlations
+
+    df = spark.createDataFrame([(1.0, 5, 2.0), (2.0, 5, None), (4.0, 5, 1.0), (None, 5, 3.0), (7.0, 5, -2.5)], "a double, c int, y double")
+    got = {(r.y, r.x): r.r for r in correlations(df, ["a", "c"], ["y"]).collect()}
+    assert got[("y", "c")] is None
+    assert math.isclose(got[("y", "a")], df.agg(F.corr("a", "y")).first()[0], rel_tol=1e-9)
+    assert correlations(df.limit(0), ["a"], ["y"]).collect() == []
+
+
+def test_fold_search_keeps_what_bags_need(rows):
+    scores = fold_search(rows, "fold", "y", {"bags": BaggedAdaBoost("y", ["id"], bags=2, rounds=1, **SMALL)}, keep=["id"])
+    assert sorted((r.fold, r.n) for r in scores.collect()) == [(0, 100), (1, 100)]
