@@ -5,9 +5,9 @@ its character n-grams. Two gated recurrent passes run over a window of words,
 attention pools their states, and a linear layer gives the window's logit. All
 overlapping windows of a text are scored; the text's score is its strongest
 window, put on a probability scale. The network is trained in numpy on a bounded
-sample of labelled rows (``SAMPLE`` rows, smallest id hashes first, and of
-each at most ``TRAIN_WINDOWS`` windows evenly over the text), the text's label
-teaching its strongest window. Scoring covers whole texts.
+sample of labelled rows (``SAMPLE`` rows, smallest id hashes first), whole texts
+of them, the text's label teaching its strongest window. The probability scale is
+fitted on the same strongest windows that scoring takes.
 
 Defined cases: null and empty texts (and texts without words) get the score of
 the bias alone; null labels and ids are not learned from; repeated rows count as
@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 
 from seriesloom.llm.common import text_of
 
-SAMPLE, TRAIN_WINDOWS, LEAST_STEPS = 4000, 24, 120
+SAMPLE, LEAST_STEPS = 4000, 120
 WINDOW, STRIDE = 32, 16
 BUCKETS, DIM, HIDDEN = 1 << 16, 12, 8
 NGRAMS = (3, 5)
 WORD = re.compile(r"\w+")
 BLOCK = 4096
+WORDS = 200_000
 
 
 class Numbers(dict):
@@ -44,11 +45,6 @@ class Numbers(dict):
         return n
 
 
-def windows(n: int, size: int = WINDOW, stride: int = STRIDE) -> np.ndarray:
-    """Starts of all overlapping windows over n words."""
-    return np.arange(0, max(1, n - (size - stride)), stride)
-
-
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed slots of all words and n-grams, flat, and where each word's begin: the word first, then its n-grams."""
     text = [b"^" + w.encode("utf-8", "surrogatepass") + b"$" for w in words]
@@ -146,16 +142,33 @@ def logits(net: dict, gates: tuple[np.ndarray, np.ndarray], index: np.ndarray) -
     return out
 
 
-def text_windows(numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """All windows of several texts whose word numbers lie end to end, and each window's text."""
-    starts = [windows(n) for n in sizes]
-    owner = np.repeat(np.arange(len(sizes)), [len(s) for s in starts])
-    first = np.cumsum(sizes) - sizes
-    at = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-    within = at[:, None] + np.arange(WINDOW)
-    padded = np.append(numbers, -1)
-    place = np.where(within < sizes[owner][:, None], first[owner][:, None] + within, len(numbers))
-    return padded[place], owner
+def strongest(net: dict, x: np.ndarray, numbers: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Logit of each text's strongest window (the first of equals) and its word numbers, -1 as padding, over all overlapping
+    windows, a block at a time; the texts' word numbers, rows of ``x``, lie end to end."""
+    gates = tuple(_gates(net, x, d) for d in "fb")
+    count = -(-np.maximum(1, sizes - (WINDOW - STRIDE)) // STRIDE)
+    ends, first, padded = np.cumsum(count), np.cumsum(sizes) - sizes, np.append(numbers, -1)
+    best, rows = np.full(len(sizes), -np.inf, np.float32), np.full((len(sizes), WINDOW), -1, np.int64)
+    for lo in range(0, int(count.sum()), BLOCK):
+        at = np.arange(lo, min(lo + BLOCK, int(ends[-1])))
+        owner = np.searchsorted(ends, at, side="right")
+        within = ((at - (ends - count)[owner]) * STRIDE)[:, None] + np.arange(WINDOW)
+        index = padded[np.where(within < sizes[owner][:, None], first[owner][:, None] + within, len(numbers))]
+        guess = logits(net, gates, index)
+        order = np.lexsort((-guess, owner))
+        order = order[np.append(True, np.diff(owner[order]) > 0)]
+        order = order[guess[order] > best[owner[order]]]
+        best[owner[order]], rows[owner[order]] = guess[order], index[order]
+    return best, rows
+
+
+def blocks(sizes: np.ndarray) -> Iterator[slice]:
+    """Runs of texts with some ``WORDS`` words together, at least one text each."""
+    ends, i = np.cumsum(sizes), 0
+    while i < len(sizes):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - sizes[i] + WORDS, side="right")))
+        yield slice(i, j)
+        i = j
 
 
 def _backward(net: dict, x: np.ndarray, index: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[dict, np.ndarray]:
@@ -197,17 +210,15 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 4, seed: int = 7)
     if not len(y) or y.min() == y.max():
         return None
     rng = np.random.default_rng(seed)
-    vocabulary, bags = Numbers(), []
-    for text in texts:
-        numbers = np.array([vocabulary[w] for w in WORD.findall(text.lower())], np.int64)
-        bag, _ = text_windows(numbers, np.array([len(numbers)]))
-        bags.append(bag[np.unique(np.linspace(0, len(bag) - 1, TRAIN_WINDOWS).astype(int))] if len(bag) > TRAIN_WINDOWS else bag)
+    vocabulary = Numbers()
+    numbers = [np.array([vocabulary[w] for w in WORD.findall(text.lower())], np.int64) for text in texts]
+    sizes = np.array([len(n) for n in numbers], np.int64)
     slots, begin = features(list(vocabulary) or ["-"])
     share = shares(begin, len(slots))
     count = np.diff(np.append(begin, len(slots)))
 
     def local(index: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Word numbers of some windows renumbered densely; the slots, shares and first slots of those words."""
+        """Word numbers of some texts or windows renumbered densely; the slots, shares and first slots of those words."""
         used, inverse = np.unique(index, return_inverse=True)
         inverse = inverse.reshape(index.shape)
         if len(used) and used[0] < 0:
@@ -222,8 +233,8 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 4, seed: int = 7)
         net |= {"W" + d: small(DIM, 3 * HIDDEN), "U" + d: small(HIDDEN, 2 * HIDDEN), "V" + d: small(HIDDEN, HIDDEN), "b" + d: np.zeros(3 * HIDDEN, np.float32)}
     # The first input dimension starts from how much likelier a slot is in toxic texts.
     seen = np.zeros((2, BUCKETS), np.float32)
-    for bag, label in zip(bags, y):
-        seen[int(label), np.unique(local(bag)[1])] += 1
+    for words, label in zip(numbers, y):
+        seen[int(label), np.unique(local(words)[1])] += 1
     rate = (seen + 0.5) / (np.bincount(y.astype(int), minlength=2)[:, None] + 1)
     surprise = np.log(rate[1] / rate[0]) * np.minimum(1, seen[1] / 8)
     net["E"][:, 0] = np.clip(surprise, -1, 3)
@@ -236,32 +247,35 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 4, seed: int = 7)
         net[k] = np.asarray(net[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-6), np.float32)
 
     def vectors(at: np.ndarray, part: np.ndarray, first: np.ndarray) -> np.ndarray:
-        return np.add.reduceat(net["E"][at] * part[:, None], first) if len(at) else np.zeros((0, DIM), np.float32)
+        out, ends = [np.zeros((0, DIM), np.float32)], np.append(first, len(at))
+        for i in range(0, len(first), 20_000):
+            lo, hi = ends[i], ends[min(i + 20_000, len(first))]
+            out.append(np.add.reduceat(net["E"][at[lo:hi]] * part[lo:hi, None], first[i : i + 20_000] - lo))
+        return np.concatenate(out)
+
+    def strongest_of(some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logit and words of the strongest window of some texts, over all their windows."""
+        best, rows = [], []
+        for span in blocks(sizes[some]):
+            flat = np.concatenate([numbers[i] for i in some[span]])
+            index, at, part, first = local(flat)
+            guess, row = strongest(net, vectors(at, part, first), index, sizes[some[span]])
+            best.append(guess)
+            rows.append(np.append(np.unique(flat), -1)[row])
+        return np.concatenate(best), np.concatenate(rows)
 
     batches = max(1, len(y) // 128)
     rounds = max(epochs, -(-LEAST_STEPS // batches))
     for epoch in range(rounds):
         for some in np.array_split(rng.permutation(len(y)), batches):
-            of = np.repeat(np.arange(len(some)), [len(bags[i]) for i in some])
-            whole = np.concatenate([bags[i] for i in some])
-            index, at, part, first = local(whole)
-            x = vectors(at, part, first)
-            guess = logits(net, tuple(_gates(net, x, d) for d in "fb"), index)
-            best = np.lexsort((-guess, of))
-            best = best[np.append(True, np.diff(of[best]) > 0)]
-            index, at, part, first = local(whole[best])
+            index, at, part, first = local(strongest_of(some)[1])
             grad, d_x = _backward(net, vectors(at, part, first), index, y[some], balance[some] / len(some))
             step += 1
             for k, g in grad.items():
                 move(k, g, 0.02 * 0.25 ** (epoch / rounds))
             d_e = d_x[np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))] * part[:, None]
             np.subtract.at(net["E"], at, np.float32(0.5) * np.clip(d_e, -1, 1))
-    strongest = []
-    for bag in bags:
-        index, at, part, first = local(bag)
-        x = vectors(at, part, first)
-        strongest.append(logits(net, tuple(_gates(net, x, d) for d in "fb"), index).max())
-    net["scale"] = _platt(np.array(strongest, float), y)
+    net["scale"] = _platt(strongest_of(np.arange(len(y)))[0].astype(float), y)
     return net
 
 
@@ -286,18 +300,9 @@ def score_texts(net: dict | None, texts: list[str]) -> np.ndarray:
         sizes.append(len(words))
     numbers, sizes = np.array(flat, np.int64), np.array(sizes, np.int64)
     x = inputs(net["E"], list(vocabulary))
-    gates = tuple(_gates(net, x, d) for d in "fb")
-    # Blocks of texts, by words, so that the windows in memory stay few.
-    strongest, ends = np.full(len(texts), -np.inf), np.cumsum(sizes)
-    i = 0
-    while i < len(texts):
-        before = ends[i] - sizes[i]
-        j = max(i + 1, int(np.searchsorted(ends, before + 200_000, side="right")))
-        index, owner = text_windows(numbers[before : ends[j - 1]], sizes[i:j])
-        np.maximum.at(strongest, owner + i, logits(net, gates, index))
-        i = j
     slope, intercept = net["scale"]
-    return 1 / (1 + np.exp(-np.clip(slope * strongest + intercept, -30, 30)))
+    best = strongest(net, x, numbers, sizes)[0]
+    return 1 / (1 + np.exp(-np.clip(slope * best + intercept, -30, 30)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> dict | None:

@@ -156,3 +156,28 @@ def test_toxicity(spark, docs, none):
     assert sum((got[i] >= 0.3) == (i % 4 == 0) for i in range(300, 400)) >= 97
     assert all(0 <= s <= 1 for s in got.values())
     assert toxicity.score(none, net).collect() == []
+
+
+def test_toxicity_learns_from_every_window(monkeypatch):
+    monkeypatch.setattr(toxicity, "LEAST_STEPS", 40)
+    rng = np.random.default_rng(4)
+    words = [f"plain{i}" for i in range(60)]
+
+    def text(bad):
+        out = list(rng.choice(words, 1000))
+        out[70] = "nastyword" if bad else out[70]  # in windows 3 and 4 of 62
+        return " ".join(out)
+
+    y = np.arange(160) % 4 == 0
+    net = toxicity.train([text(bad) for bad in y], y.astype(int))
+    got = toxicity.score_texts(net, [text(bad) for bad in y]) >= 0.3
+    assert (got == y).sum() >= 155
+
+
+def test_strongest_window_over_blocks(monkeypatch):
+    net = toxicity.train(["good words here", "bad words there"] * 4, np.array([0, 1] * 4), epochs=1)
+    texts = [" ".join(f"w{i * k % 97}" for i in range(n)) for k, n in ((3, 0), (5, 16), (7, 33), (11, 900), (13, 48))]
+    whole = toxicity.score_texts(net, texts)
+    monkeypatch.setattr(toxicity, "BLOCK", 3)
+    assert np.allclose(toxicity.score_texts(net, texts), whole, atol=1e-5)
+    assert np.allclose([toxicity.score_texts(net, [t])[0] for t in texts], whole, atol=1e-5)
