@@ -38,6 +38,8 @@ PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ )*PRIVATE KEY)-----([A-Za-z0-9+/=\s]
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 BLOB = re.compile(r"[A-Za-z0-9+/_-]{32,}={0,2}")
 HEX_BLOB = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9A-Fa-f]{2}){32,}(?![0-9A-Fa-f])")
+#: Object identifiers of PKCS#5 and PKCS#12 encryption begin so.
+ENCRYPTION = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 RUN = 24
 
 Span = tuple[int, int, str]
@@ -65,8 +67,10 @@ def _der(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (data[at], start, start + size) if start + size <= end else None
 
 
-def is_der_key(data: bytes) -> bool:
-    """A private key: one sequence over all bytes, a small version, then the fields of PKCS#1, PKCS#8 or SEC 1."""
+def is_der_key(data: bytes, named: bool = False) -> bool:
+    """A private key: one sequence over all bytes; a small version, then the fields of PKCS#1, PKCS#8, DSA or SEC 1; or
+    an algorithm, then the octets of an encrypted PKCS#8 key. Signed digests have that form, too, so the algorithm must be
+    an encryption of PKCS#5 or PKCS#12, unless armour has ``named`` it an encrypted key."""
     outer = _der(data, 0, len(data))
     if outer is None or outer[0] != 0x30 or outer[2] != len(data):
         return False
@@ -77,11 +81,16 @@ def is_der_key(data: bytes) -> bool:
             return False
         tags.append(item)
         at = item[2]
+    kinds = [t[0] for t in tags]
+    if kinds == [0x30, 4]:
+        scheme = _der(data, tags[0][1], tags[0][2])
+        return scheme is not None and scheme[0] == 6 and (named or data[scheme[1] : scheme[2]].startswith(ENCRYPTION))
     if len(tags) < 2 or tags[0][0] != 2 or tags[0][2] - tags[0][1] != 1 or data[tags[0][1]] > 1:
         return False
-    kinds = [t[0] for t in tags]
     if len(kinds) >= 9 and all(k == 2 for k in kinds[:9]):
         return True
+    if kinds == [2] * 6 and data[tags[0][1]] == 0:  # DSA: a version of 0, then p, q, g, y and x
+        return True
     if kinds[1] == 4:  # an elliptic curve key holds its scalar right away
         return len(kinds) == 2 or kinds[2] in (0xA0, 0xA1)
     if len(kinds) < 3 or kinds[1] != 0x30 or kinds[2] != 4:
@@ -111,8 +120,8 @@ def is_openssh_key(data: bytes) -> bool:
     return 1 <= keys <= 64 and all(field() is not None for _ in range(keys + 1)) and at == len(data)
 
 
-def _key_kind(data: bytes | None) -> str | None:
-    return None if not data else "der" if is_der_key(data) else "openssh" if is_openssh_key(data) else None
+def _key_kind(data: bytes | None, named: bool = False) -> str | None:
+    return None if not data else "der" if is_der_key(data, named) else "openssh" if is_openssh_key(data) else None
 
 
 def _json(part: str) -> dict | None:
@@ -138,7 +147,7 @@ def scan(text: str, runs: bool = True) -> list[Span]:
     if "AKIA" in text:
         out += [(*m.span(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= 20]
     if "PRIVATE KEY-----" in text:
-        out += [(*m.span(), "pem") for m in PEM.finditer(text) if _key_kind(unbase64(m[2]))]
+        out += [(*m.span(), "pem") for m in PEM.finditer(text) if _key_kind(unbase64(m[2]), m[1].startswith("ENCRYPTED"))]
     if runs:
         out += [(*m.span(), "hex") for m in HEX.finditer(text) if len(m[0]) >= RUN]
         for m in BLOB.finditer(text):
@@ -147,8 +156,8 @@ def scan(text: str, runs: bool = True) -> list[Span]:
         for m in HEX_BLOB.finditer(text):
             if kind := _key_kind(bytes.fromhex(m[0])):
                 out.append((*m.span(), kind))
-    if "ey" in text and "." in text:  # a JSON object starts so in base64
-        out += [(*m.span(), "jwt") for m in JWT.finditer(text) if m[1].startswith("ey") and is_signed_token(*m.groups())]
+    if "." in text:
+        out += [(*m.span(), "jwt") for m in JWT.finditer(text) if is_signed_token(*m.groups())]
     return sorted(set(out), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -53,6 +53,33 @@ def test_signed_tokens():
     assert "jwt" not in kinds(f"{url(b'[1,2,3,4,5]')}.{body}.abc")
 
 
+@pytest.mark.parametrize("indent", ['{\n  "alg": "HS256"\n}', '{\r\n"alg": "HS256"}', ' {"alg": "HS256"}', '{ "alg": "HS256"}', '\t{"alg": "HS256"}'])
+def test_signed_tokens_with_laid_out_headers(indent):
+    body = url(json.dumps({"sub": "1"}, indent=2).encode())
+    assert "jwt" in kinds(f"Bearer {url(indent.encode())}.{body}.{url(bytes(32))}")
+
+
+def armour(name, data):
+    return f"x\n-----BEGIN {name}-----\n{base64.encodebytes(data).decode()}-----END {name}-----\ny"
+
+
+@pytest.mark.parametrize("scheme", ["2a864886f70d01050d", "2a864886f70d010503", "2a864886f70d010c0103"])
+def test_encrypted_keys(scheme):
+    algorithm = der(6, bytes.fromhex(scheme)) + der(0x30, der(4, b"saltsalt") + der(2, b"\x08\0"))
+    key = der(0x30, der(0x30, algorithm) + der(4, bytes(range(96))))
+    assert "pem" in kinds(armour("ENCRYPTED PRIVATE KEY", key))
+    assert "der" in kinds(base64.b64encode(key).decode()) and not secrets.is_der_key(key[:-1])
+    digest = der(0x30, der(0x30, der(6, bytes.fromhex("608648016503040201")) + der(5, b"")) + der(4, bytes(32)))
+    assert "der" not in kinds(base64.b64encode(digest).decode()) and "pem" in kinds(armour("ENCRYPTED PRIVATE KEY", digest))
+
+
+def test_dsa_keys():
+    key = der(0x30, der(2, b"\0") + b"".join(der(2, bytes(range(1, n))) for n in (129, 21, 128, 128, 20)))
+    assert "pem" in kinds(armour("DSA PRIVATE KEY", key))
+    assert "der" in kinds(base64.b64encode(key).decode())
+    assert not secrets.is_der_key(der(0x30, der(2, b"\0") + b"".join(der(2, b"\1") for _ in range(4))))
+
+
 def brute(text):
     out = []
     pattern = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
