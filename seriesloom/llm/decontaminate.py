@@ -2,7 +2,10 @@
 
 Texts are cut into overlapping passages of ``PASSAGE`` words. A passage queries
 the inverted index of the items with its distinct words; an item's score is
-relative to what the item scores on itself, so one threshold fits all. Retrieval
+relative to what the item scores on itself, so one threshold fits all. Items of
+more than ``STRIDE`` words are indexed whole and in parts of at most so many, each
+relative to its own score, and any part found brings the whole item: some passage
+holds a copied part whole, wherever it lies, so an item's length hides nothing. Retrieval
 is block-max WAND, a batch of passages at a time: a passage whose words' largest
 scores together stay below the threshold is passed over; of the others, a block
 of items is opened only where the sum of its words' block maxima reaches the
@@ -13,8 +16,8 @@ before it (of one sentence: both are all of it).
 
 Defined cases: null and empty texts have no passages; null and empty items, and
 items without words, are never found; null ids are kept, repeated documents give
-rows of their own and repeated items one row each; texts are read whole; an empty
-table gives no rows. Items are indexed ``SLICE`` at a time, so the broadcast
+rows of their own and repeated items one row each; texts are read whole; the score
+is that of the best part; an empty table gives no rows. Items are indexed ``SLICE`` at a time, so the broadcast
 index is bounded, with word statistics of all items.
 """
 
@@ -59,31 +62,41 @@ def question_and_answer(text: str) -> tuple[list[str], list[str]]:
     return [w for p in parts[:cut] for w in p] or answer, answer
 
 
+def parts_of(words: list[str], size: int = STRIDE) -> list[list[str]]:
+    """The words, and if they are more than ``size``, their parts of at most so many, as even as possible."""
+    n = -(-len(words) // size)
+    cuts = [len(words) * i // n for i in range(n + 1)] if n > 1 else []
+    return [words, *(words[a:b] for a, b in zip(cuts[:-1], cuts[1:]))]
+
+
 class Index:
-    """Postings (item, share of the item's own score) by word, with maxima by word and by word and block."""
+    """Postings (part of an item, share of the part's own score) by word, with maxima by word and by word and block."""
 
     def __init__(self, items: list[tuple[int, str]], df: dict[str, int], count: int, mean_size: float):
         self.ids = [i for i, _ in items]
         self.sides = [question_and_answer(t) for _, t in items]
         self.terms: dict[str, int] = {}
         rows: list[tuple[int, int, float]] = []
-        for n, (_, text) in enumerate(items):
-            tf = Counter(words_of(text))
+        parts = [(i, part) for i, (_, text) in enumerate(items) for part in parts_of(words_of(text))]
+        self.owner = np.array([i for i, _ in parts], np.int64)
+        for n, (_, part_words) in enumerate(parts):
+            tf = Counter(part_words)
             norm = K1 * (1 - B + B * sum(tf.values()) / mean_size)
             part = {w: math.log(1 + (count - df[w] + 0.5) / (df[w] + 0.5)) * f * (K1 + 1) / (f + norm) for w, f in tf.items()}
             own = sum(part.values())
             rows += [(self.terms.setdefault(w, len(self.terms)), n, s / own) for w, s in part.items()]
         rows.sort()
         term, self.item, self.weight = (np.array(c) for c in zip(*rows)) if rows else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        self.blocks = len(items) // BLOCK + 1
+        self.per = max(BLOCK, -(-len(parts) * BLOCK // SLICE))  # so that block maxima stay few when items are long
+        self.blocks = len(parts) // self.per + 1
         self.starts = np.searchsorted(term, np.arange(len(self.terms) + 1))
         self.top = np.maximum.reduceat(self.weight, self.starts[:-1]) if rows else np.zeros(0)
         self.block_top = np.zeros((len(self.terms), self.blocks), np.float32)
-        np.maximum.at(self.block_top, (term, self.item // BLOCK), self.weight)
-        self.pair = term * len(items) + self.item  # sorted, to look up single postings
+        np.maximum.at(self.block_top, (term, self.item // self.per), self.weight)
+        self.pair = term * len(parts) + self.item  # sorted, to look up single postings
 
     def search(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(passage, item, score) at or above the threshold, for distinct (passage, term) pairs."""
+        """(passage, part, score) at or above the threshold, for distinct (passage, term) pairs."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         total = np.bincount(passage, self.top[term]) if len(term) else np.zeros(0)
         live = total[passage] >= threshold if len(term) else np.zeros(0, bool)
@@ -100,9 +113,9 @@ class Index:
             bound = np.add.reduceat(self.block_top[term[first:last]], begin[lo:hi] - first)
             r, block = np.nonzero(bound >= threshold * (1 - 1e-5))  # single precision
             r += lo
-            n, item = _expand(np.arange(len(r)), block * BLOCK, np.minimum((block + 1) * BLOCK, len(self.ids)))
+            n, item = _expand(np.arange(len(r)), block * self.per, np.minimum((block + 1) * self.per, len(self.owner)))
             c, at = _expand(np.arange(len(n)), begin[r[n]], begin[r[n]] + size[r[n]])
-            score = np.bincount(c, _look_up(self.pair, self.weight, term[at] * len(self.ids) + item[c]), minlength=len(n))
+            score = np.bincount(c, _look_up(self.pair, self.weight, term[at] * len(self.owner) + item[c]), minlength=len(n))
             hit = score >= threshold - 1e-9
             out.append((passage[begin[r[n[hit]]]], item[hit], score[hit]))
         return tuple(np.concatenate(c) for c in zip(*out)) if out else none
@@ -120,7 +133,7 @@ def _look_up(keys: np.ndarray, values: np.ndarray, asked: np.ndarray) -> np.ndar
 
 
 def search_texts(index: Index, texts: list[str], threshold: float = THRESHOLD, overlap: float = OVERLAP) -> list[tuple[int, int, float, float, float]]:
-    """(text, item, best passage's score, question's and answer's overlap) of all verified finds."""
+    """(text, item, best score of a passage and a part, question's and answer's overlap) of all verified finds."""
     get = index.terms.get
     term_of, owner, passages = [], [], 0
     for n, text in enumerate(texts):
@@ -134,9 +147,9 @@ def search_texts(index: Index, texts: list[str], threshold: float = THRESHOLD, o
         return []
     which = np.repeat(np.arange(passages), [len(t) for t in term_of])
     pairs = np.unique(which * len(index.terms) + np.concatenate(term_of))
-    p, items, scores = index.search(pairs // len(index.terms), pairs % len(index.terms), threshold)
+    p, parts, scores = index.search(pairs // len(index.terms), pairs % len(index.terms), threshold)
     best: dict[tuple[int, int], float] = {}
-    for n, item, s in zip(p.tolist(), items.tolist(), scores.tolist()):
+    for n, item, s in zip(p.tolist(), index.owner[parts].tolist(), scores.tolist()):
         key = owner[n], item
         best[key] = max(s, best.get(key, 0.0))
     out, last, seen = [], -1, set()

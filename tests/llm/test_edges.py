@@ -118,6 +118,16 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.contaminated(dirty, bench.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("size", [64, 65, 214, 500, 3000])
+def test_long_items_copied_verbatim(spark, size):
+    words = [f"q{i * 7919 % 100003}" for i in range(size)]
+    item = " ".join(words[: size // 2]) + "? " + " ".join(words[size // 2 :]) + "."
+    bench = spark.createDataFrame([(1, item), (2, "A short one stands here. It has but two sentences.")], "item_id long, text string")
+    rows = [(10 + at, " ".join(LONG.split()[:at]) + " " + item + " after it", "x") for at in (0, 1, 63, 100)] + [(5, LONG, "x"), (6, " ".join(words[: size // 3]), "x")]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(spark.createDataFrame(rows, SCHEMA), bench).collect()}
+    assert got == {(10 + at, 1) for at in (0, 1, 63, 100)}
+
+
 def test_top_k(spark):
     inf = float("inf")
     rows = [(i, [0.5, 0.25 * (i % 3)], 0) for i in range(45)] + [(100, [inf, 0.0], 0), (101, None, 0), (102, [None, 1.0], 0), (None, [9.0, 9.0], 0), (20, [0.5, 0.5], 0), (103, [1.0], 0), (104, [], 0)]
