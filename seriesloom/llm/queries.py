@@ -29,9 +29,9 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every whole document under a trigram model of the documents that are not held out."""
+    """Every whole document under a trigram model, with all n-grams, of the documents that are not held out."""
     docs, learns = table(spark, sf_dir, "documents"), learns_from("doc_id", 7, 2)
-    model = ngrams.fit(docs.where(learns))
+    model = ngrams.fit(docs.where(learns), keep=(1, 1, 1))
     scored = ngrams.score(docs, model)
     return scored.select("doc_id", (~learns).alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
 

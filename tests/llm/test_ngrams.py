@@ -92,3 +92,16 @@ def test_without_training_rows(spark):
     model = ngrams.fit(df.limit(0))
     assert (model.total, model.size) == (0, 0)
     assert sorted((r.doc_id, r.n_tokens, r.n_known, r.score) for r in ngrams.score(df, model).collect()) == [(1, 3, 0, 0.0), (2, 1, 0, 0.0)]
+
+
+def test_query_keeps_ngrams_seen_once(spark, tmp_path):
+    from seriesloom.llm import queries
+
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(40)], k=rng.randint(1, 25)))) for i in range(60)]
+    rows.append((901, "once only said here"))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.score for r in queries.op3_ngram_scores(spark, str(tmp_path)).collect()}
+    want, pruned = brute(rows, keep=(1, 1, 1)), brute(rows)
+    assert all(got[i] == pytest.approx(want[i][4], rel=1e-4) for i in want)
+    assert sum(want[i][4] != pytest.approx(pruned[i][4], rel=1e-3) for i in want) > 30
