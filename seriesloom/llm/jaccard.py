@@ -1,11 +1,13 @@
-"""Near-duplicate join on word shingles: MinHash LSH forest, then exact Jaccard.
+"""Near-duplicate join on word shingles: MinHash bands, then exact Jaccard.
 
 Documents with the same set of shingles form a class; classes are joined. A
 class's signature (one permutation, empty bins filled from others) is cut into
-trees of ``DEPTH`` values each. In a tree, classes that share a prefix are
-neighbours in the sorted order; the matched prefix is shortened from full depth
-until the recall at the asked similarity reaches the target. Neighbours give
-candidate groups (connected, so a class's shingles travel once). Inside a group
+trees of ``DEPTH`` values each, of which a prefix is matched: the longest whose
+recall, ``RECALL`` by formula, is reached at the asked similarity. The length is the same for
+all classes, so this is banding, not an LSH forest: the join asks for one
+similarity, at which a forest shortened level by level would stop at that length,
+too. Where no prefix of these trees reaches it, each value is a tree of its own;
+lower similarities are refused. Equal prefixes give candidate groups (connected, so a class's shingles travel once). Inside a group
 all pairs are verified exactly, block of classes against block of classes, each
 pair of blocks a unit of its own; a unit returns one count per class and a
 spanning forest of its links, so no task or result grows with the pairs, and no
@@ -39,11 +41,19 @@ BLOCK = 256
 
 
 def prefix_depth(similarity: float, recall: float, trees: int = TREES, depth: int = DEPTH) -> int:
-    """Longest prefix that brings pairs of that similarity together in some tree with that probability."""
+    """Longest prefix that brings pairs of that similarity together in some tree with that probability; 0 if none does."""
     for d in range(depth, 0, -1):
         if 1 - (1 - similarity**d) ** trees >= recall:
             return d
-    return 1
+    return 0
+
+
+def shape(similarity: float, recall: float = RECALL) -> tuple[int, int]:
+    """Number of trees and length of the matched prefix."""
+    for trees in (TREES, BINS):
+        if d := prefix_depth(similarity, recall, trees, BINS // trees):
+            return trees, d
+    raise ValueError(f"{BINS} values don't reach a recall of {recall} at similarity {similarity}")
 
 
 class Words(dict):
@@ -96,22 +106,22 @@ def signature(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def signed(df: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
+def signed(df: DataFrame, id_col: str, text_col: str, words: int, similarity: float = SIMILARITY) -> DataFrame:
     """id, digest of the shingle set, prefixes (a 64-bit key per tree; null for the empty set)."""
-    depth = prefix_depth(SIMILARITY, RECALL)
+    trees, depth = shape(similarity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Words()
-        mix = np.random.default_rng(5).integers(1, 2**63, (TREES, depth), dtype=np.uint64) | np.uint64(1)
+        mix = np.random.default_rng(5).integers(1, 2**63, (trees, depth), dtype=np.uint64) | np.uint64(1)
         for batch in batches:
             digests, keys = [], []
             for text in batch.column(1):
                 s = shingles(text.as_py(), hashes, words)
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 if len(s):
-                    head = signature(s).reshape(TREES, DEPTH)[:, :depth].astype(np.uint64) + np.uint64(1)
+                    head = signature(s).reshape(trees, -1)[:, :depth].astype(np.uint64) + np.uint64(1)
                     with np.errstate(over="ignore"):
-                        k = np.zeros(TREES, np.uint64)
+                        k = np.zeros(trees, np.uint64)
                         for d in range(depth):
                             k = (k ^ head[:, d] * mix[:, d]) * np.uint64(0x9E3779B97F4A7C15)
                             k ^= k >> np.uint64(31)
@@ -232,7 +242,7 @@ def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY) -> DataFrame:
     """Per row: id, class_id (smallest id that is linked, over any number of links), copy_of (smallest id with the
     same shingles) and n_links (other classes at that similarity)."""
-    rows = stage(signed(df, id_col, text_col, words), "signed")
+    rows = stage(signed(df, id_col, text_col, words, similarity), "signed")
     classes = rows.groupBy("digest").agg(F.min("id").alias("rep"), F.first("prefixes").alias("prefixes"))
     keyed = stage(classes.select("digest", "rep", F.posexplode_outer("prefixes").alias("tree", "prefix")), "prefixes")
     bucket = ["tree", "prefix"]

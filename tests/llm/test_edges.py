@@ -65,6 +65,17 @@ def test_near_duplicates(spark, docs, none):
     assert jaccard.near_duplicates(none).collect() == []
 
 
+@pytest.mark.parametrize("common, similarity", [(145, 0.5), (80, 0.2)])
+def test_near_duplicates_at_the_asked_similarity(spark, common, similarity):
+    rows = [(2 * i + j, " ".join([f"p{i}c{k}" for k in range(common)] + [f"p{i}s{j}x{k}" for k in range(200 - common)]), "x") for i in range(60) for j in (0, 1)]
+    out = jaccard.near_duplicates(spark.createDataFrame(rows, SCHEMA), similarity=similarity).collect()
+    assert len(out) == 120 and all((r.class_id, r.n_links) == (r.doc_id // 2 * 2, 1) for r in out)
+    trees, depth = jaccard.shape(similarity)
+    assert 1 - (1 - similarity**depth) ** trees >= jaccard.RECALL and jaccard.shape(0.8) == (16, 5)
+    with pytest.raises(ValueError):
+        jaccard.shape(0.01)
+
+
 def test_hot_group_in_blocks_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 8)
     rng = np.random.default_rng(1)
