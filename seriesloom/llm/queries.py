@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontaminate, jaccard, ngrams, packing, repeats, secrets, sharding, topk, toxicity, warc
+from seriesloom.llm import decontaminate, jaccard, ngrams, packing, repeats, rules, secrets, sharding, topk, toxicity, warc
 from seriesloom.llm.common import learns_from, table
 
 
@@ -119,6 +119,70 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every whole document, against references from all documents of its language."""
+    return rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+_JS = """sqrt(greatest(0, list_sum([CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) ELSE 0 END
+    + CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) ELSE 0 END
+    for z in [[{p}[i], {q}[i]] for i in range(1, len({p}) + 1)]]) / 2))"""
+OP13_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t FROM documents),
+s0 AS (SELECT *, regexp_replace(t, '[a-z]+', '', 'g') AS t1 FROM d),
+s1 AS (SELECT *, regexp_replace(t1, '[\x20\x09-\x0D]+', '', 'g') AS t2 FROM s0),
+s2 AS (SELECT *, regexp_replace(t2, '[A-Z]+', '', 'g') AS t3 FROM s1),
+s3 AS (SELECT *, regexp_replace(t3, '[0-9]+', '', 'g') AS t4 FROM s2),
+s4 AS (SELECT *, regexp_replace(t4, '[.,;:!?''"()\-]+', '', 'g') AS t5 FROM s3),
+s5 AS (SELECT *, regexp_replace(t5, '[\x00-\x7F]+', '', 'g') AS t6 FROM s4),
+feat AS MATERIALIZED (
+  SELECT r, doc_id, lang, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, regexp_extract_all(lower(t), '\p{{L}}+') AS lw,
+    length(t1) - length(t2) AS white, length(t5) - length(translate(t5, '#*$%&|<>', '')) AS n_symbols,
+    [length(t) - length(t1), length(t1) - length(t2), length(t2) - length(t3), length(t3) - length(t4), length(t4) - length(t5),
+     length(t5) - length(t6), length(t6)] AS k,
+    [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines
+  FROM s5),
+counted AS MATERIALIZED (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(lw) AS word FROM feat) GROUP BY lang, word),
+sizes AS (SELECT lang, sum(n) AS words FROM counted GROUP BY lang),
+own AS (SELECT lang FROM sizes WHERE lang IS NOT NULL AND words >= 0.001 * (SELECT sum(words) FROM sizes)),
+pool AS (SELECT lang, word, n FROM counted WHERE lang IN (SELECT lang FROM own)
+         UNION ALL SELECT NULL, word, sum(n) FROM counted GROUP BY word),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS i FROM pool QUALIFY i <= 32),
+tops AS (SELECT lang, list(word ORDER BY i) AS common, list(n ORDER BY i) AS ns FROM best GROUP BY lang),
+total AS (SELECT lang, words FROM sizes WHERE lang IS NOT NULL UNION ALL SELECT NULL, sum(words) FROM sizes),
+ksum AS (SELECT lang, list(s ORDER BY i) AS ks FROM (
+  SELECT lang, i, sum(k[i]) AS s FROM feat, range(1, 8) g(i) WHERE lang IS NOT NULL GROUP BY lang, i
+  UNION ALL SELECT NULL, i, sum(k[i]) FROM feat, range(1, 8) g(i) GROUP BY i) GROUP BY lang),
+refs AS (
+  SELECT tops.lang, common, [n::DOUBLE / words for n in list_append(ns, words - list_sum(ns))] AS wq,
+    [x::DOUBLE / list_sum(ks) for x in ks] AS kq
+  FROM tops JOIN total ON tops.lang IS NOT DISTINCT FROM total.lang JOIN ksum ON tops.lang IS NOT DISTINCT FROM ksum.lang),
+windows AS (
+  SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM feat WHERE len(w) >= 5)),
+twice AS (SELECT r, i FROM windows QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+covered AS (SELECT r, sum(least(5, i - coalesce(before, -5))) AS n FROM (
+  SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM twice) GROUP BY r),
+hist AS (
+  SELECT feat.r, common, wq, kq, len(lw) AS m, [x::DOUBLE / nullif(length(t), 0) for x in k] AS kp,
+    lw
+  FROM feat JOIN refs ON refs.lang IS NOT DISTINCT FROM (CASE WHEN feat.lang IN (SELECT lang FROM own) THEN feat.lang END) WHERE len(lw) >= 30),
+hits AS (SELECT r, i, count(*) AS n FROM (SELECT r, list_position(common, unnest(lw)) AS i FROM hist) WHERE i > 0 GROUP BY r, i),
+hitsum AS (SELECT hist.r, list(coalesce(n, 0)::DOUBLE ORDER BY g.i) AS found
+  FROM hist JOIN range(1, 33) g(i) ON g.i <= len(common) LEFT JOIN hits ON hits.r = hist.r AND hits.i = g.i GROUP BY hist.r),
+shares AS (SELECT hist.*, [x / m for x in list_append(found, m - list_sum(found))] AS wp FROM hist JOIN hitsum USING (r)),
+verdict AS (SELECT r, {_JS.format(p="kp", q="kq")} > 0.15 + 1.0 / sqrt(m) OR {_JS.format(p="wp", q="wq")} > 0.22 + 1.9 / sqrt(m) AS departs FROM shares),
+base AS (
+  SELECT r, doc_id, len(w)::BIGINT AS n_words, (length(t) - white)::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(covered.n, 0)::BIGINT AS n_repeat_words
+  FROM feat LEFT JOIN covered USING (r)),
+failed AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM base)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(departs, false) AS kept
+FROM failed LEFT JOIN verdict USING (r)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_sharding": op2_sharding,
@@ -130,5 +194,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_repeats": op10_repeats,
+    "op13_quality_rules": op13_quality_rules,
 }
-ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op6_warc_fixity": OP6_SQL}
+ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op6_warc_fixity": OP6_SQL, "op13_quality_rules": OP13_SQL}
