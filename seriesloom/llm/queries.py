@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seriesloom.llm import decontaminate, jaccard, ngrams, packing, repeats, rules, secrets, sharding, topk, toxicity, warc
+from seriesloom.llm import decontaminate, jaccard, manifest, ngrams, packing, repeats, retrieval, rules, secrets, sharding, topk, toxicity, warc
 from seriesloom.llm.common import learns_from, table
 
 
@@ -119,6 +119,98 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle leaves and proofs of all documents by source; half of the ids are checked with their line breaks gone.
+
+    A null id counts as the empty text in the choice of those (crc32 0: tampered).
+    """
+    head = [manifest.field(F.col(c)) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = manifest.joined_hash(*head, manifest.field(F.col("text")))
+    stripped = manifest.joined_hash(*head, manifest.field(F.replace("text", F.lit("\n"), F.lit(""))))
+    shown = F.when(learns_from("doc_id", 2, 0), F.lit(None)).when(F.contains("text", F.lit("\n")), stripped)
+    made = manifest.build(table(spark, sf_dir, "documents"), "source", "doc_id", leaf, {"shown": shown})
+    proved = made.leaves.join(manifest.descend(made), ["__key", "__pos"]).join(made.groups.select("__key", "subroot"), "__key")
+    root = F.lit(made.root)
+    folded = manifest.fold(F.coalesce("shown", "leaf"), F.col("__path"))
+    out = proved.select(F.col("__id").alias("doc_id"), "leaf", "subroot", root.alias("root"), manifest.proof_of(F.col("__path")).alias("proof_sha256"), folded.alias("folded_root"))
+    return out.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+OP11_SQL = """
+WITH RECURSIVE
+bits AS (SELECT i AS n, i::BIGINT AS c, 0 AS k FROM range(0, 256) t(i)
+  UNION ALL SELECT n, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8),
+d AS (SELECT *, coalesce(CAST(doc_id AS VARCHAR), '') AS name FROM documents),
+marked AS (
+  SELECT d.*, xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(name[i])::BIGINT for i in range(1, length(name) + 1)]),
+    lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1])), 4294967295::BIGINT) % 2 = 0 AS tampered,
+    list_reduce([CASE WHEN x IS NULL THEN '-' ELSE octet_length(encode(x)) || ':' || x END
+      for x in [CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR)]], lambda a, b: a || b) AS head
+  FROM d, crc),
+leaves AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+    CASE WHEN tampered THEN sha256(head || coalesce(octet_length(encode(replace(text, chr(10), ''))) || ':' || replace(text, chr(10), ''), '-')) END AS shown
+  FROM marked),
+ranked AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY source) AS n FROM leaves),
+levels AS (
+  SELECT source, 0 AS level, p AS pos, leaf AS digest, n FROM ranked
+  UNION ALL SELECT source, level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3
+  FROM levels WHERE n > 1 GROUP BY source, level, n, pos // 3),
+subroots AS MATERIALIZED (
+  SELECT source, digest AS subroot, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS q, count(*) OVER () AS n FROM levels WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, q AS pos, subroot AS digest, n FROM subroots
+  UNION ALL SELECT level + 1, pos // 3, sha256(string_agg(digest, '' ORDER BY pos)), (n + 2) // 3 FROM tops WHERE n > 1 GROUP BY level, n, pos // 3),
+kept AS MATERIALIZED (SELECT * FROM levels), top AS MATERIALIZED (SELECT * FROM tops),
+steps AS (
+  SELECT r.r, x.level, string_agg(k.digest, '' ORDER BY k.pos) FILTER (k.pos < x.pos) AS lft, string_agg(k.digest, '' ORDER BY k.pos) FILTER (k.pos > x.pos) AS rgt
+  FROM ranked r, LATERAL (SELECT i AS level, r.p // CAST(3 ** i AS BIGINT) AS pos FROM range(0, 40) t(i)) x
+  JOIN kept k ON k.source IS NOT DISTINCT FROM r.source AND k.level = x.level AND k.pos // 3 = x.pos // 3 AND k.n > 1
+  GROUP BY r.r, x.level
+  UNION ALL
+  SELECT r.r, 100 + x.level, string_agg(k.digest, '' ORDER BY k.pos) FILTER (k.pos < x.pos), string_agg(k.digest, '' ORDER BY k.pos) FILTER (k.pos > x.pos)
+  FROM ranked r JOIN subroots s ON r.source IS NOT DISTINCT FROM s.source,
+    LATERAL (SELECT i AS level, s.q // CAST(3 ** i AS BIGINT) AS pos FROM range(0, 40) t(i)) x
+  JOIN top k ON k.level = x.level AND k.pos // 3 = x.pos // 3 AND k.n > 1
+  GROUP BY r.r, x.level),
+paths AS (SELECT r, string_agg(coalesce(lft, '') || coalesce(rgt, ''), '' ORDER BY level) AS siblings, list({'l': coalesce(lft, ''), 'r': coalesce(rgt, '')} ORDER BY level) AS path
+  FROM steps GROUP BY r),
+folds AS (
+  SELECT r, coalesce(shown, leaf) AS h, 1 AS i FROM ranked
+  UNION ALL SELECT folds.r, sha256(path[i].l || h || path[i].r), i + 1 FROM folds JOIN paths USING (r) WHERE i <= len(path)),
+ends AS (SELECT r, arg_max(h, i) AS folded_root FROM folds GROUP BY r)
+SELECT doc_id, leaf, subroot, t.digest AS root, sha256(coalesce(siblings, '')) AS proof_sha256, folded_root, folded_root = t.digest AS verified
+FROM ranked JOIN subroots s ON ranked.source IS NOT DISTINCT FROM s.source JOIN ends USING (r) LEFT JOIN paths USING (r), (SELECT digest FROM top WHERE n = 1) t
+"""
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return retrieval.search(retrieval.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"), k=50)
+
+
+OP12_SQL = r"""
+WITH lower_case AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b),
+d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, a, b), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts
+  FROM documents, lower_case WHERE text IS NOT NULL),
+size AS (SELECT count(*)::BIGINT AS big_n, sum(len(ts))::BIGINT AS big_l FROM d WHERE len(ts) > 0),
+tf AS MATERIALIZED (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY r, term),
+df AS (SELECT term, count(*)::BIGINT AS df FROM tf GROUP BY term),
+q AS (SELECT row_number() OVER () AS qid, item_id,
+  list_distinct(regexp_extract_all(translate(text, a, b), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS ts FROM benchmark, lower_case WHERE text IS NOT NULL),
+qt AS (SELECT qid, item_id, unnest(ts) AS term FROM q),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, size),
+norm AS (SELECT r, doc_id, 50 + (50 * len(ts)::BIGINT * big_n) // big_l AS m FROM d, size WHERE len(ts) > 0),
+scored AS (
+  SELECT qid, item_id, doc_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM qt JOIN tf USING (term) JOIN w USING (term) JOIN norm USING (r) GROUP BY qid, item_id, doc_id, r)
+SELECT item_id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS FIRST)::INTEGER AS "rank", doc_id, score
+FROM scored WHERE score > 0 QUALIFY "rank" <= 50
+"""
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every whole document, against references from all documents of its language."""
     return rules.judge(table(spark, sf_dir, "documents")).select(
@@ -194,6 +286,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_repeats": op10_repeats,
+    "op11_manifest": op11_manifest,
+    "op12_search": op12_search,
     "op13_quality_rules": op13_quality_rules,
 }
-ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op6_warc_fixity": OP6_SQL, "op13_quality_rules": OP13_SQL}
+ORACLES: dict[str, str] = {"op5_top_k": OP5_SQL, "op6_warc_fixity": OP6_SQL, "op11_manifest": OP11_SQL, "op12_search": OP12_SQL, "op13_quality_rules": OP13_SQL}
