@@ -25,6 +25,8 @@ of the input are not read, and none of its names clash.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -40,6 +42,8 @@ CLASSES = {"lower": r"[a-z]+", "white": SPACE + "+", "upper": r"[A-Z]+", "digit"
 COMMON, MIN_SHARE, MIN_WORDS = 32, 0.001, 30
 CLASS_LIMIT, WORD_LIMIT = (0.15, 1.0), (0.22, 1.9)
 RUN = 5
+#: A letter for every place among the common words; none for place 0.
+MARKS = ["", *string.ascii_letters[:COMMON]]
 
 
 def _letters(text: Column) -> Column:
@@ -100,6 +104,17 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2))
 
 
+def _hash_both(a: Column, b: Column) -> Column:
+    """Hashes of pairs, as far as both arrays go (``zip_with`` fills the shorter with nulls)."""
+    return F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
+
+
+def _window_hashes(single: Column, pair: Column, windows: Column) -> Column:
+    """Of every five words: the first two and next two by their pairs, then the fifth."""
+    four = _hash_both(F.slice(pair, 1, windows), F.slice(pair, 3, windows))
+    return _hash_both(four, F.slice(single, RUN, windows))
+
+
 def _sorted_windows(words: Column, hashes: Column) -> Column:
     """Five-word windows with their place, in order; null where their hashes already differ."""
     windows = F.transform(F.sequence(F.lit(0), F.size(words) - RUN), lambda i: F.struct(F.concat_ws(" ", F.slice(words, i + 1, RUN)).alias("w"), i.alias("at")))
@@ -131,13 +146,15 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         _class_counts(with_ref)
         .withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
         .withColumn("lines", line_with_word)
-        .withColumn("hashes", F.when(F.size(words) > RUN, F.transform(F.sequence(F.lit(0), F.size(words) - RUN), lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(RUN))))))
+        .withColumn("single", F.transform(words, lambda w: F.xxhash64(w)))
+        .withColumn("pair", _hash_both(F.col("single"), F.slice("single", 2, F.size(words))))
+        .withColumn("hashes", F.when(F.size(words) > RUN, _window_hashes(F.col("single"), F.col("pair"), F.size(words) - RUN + 1)))
         .withColumn("order", _sorted_windows(words, F.col("hashes")))
         .withColumn("spaced", _letters(F.col("text")))
+        .withColumn("letter_words", F.when(F.col("spaced") == "", F.array().cast("array<string>")).otherwise(F.split("spaced", "  ")))
+        .withColumn("longest", F.array_max(F.transform("common", lambda w: F.length(w))))
+        .withColumn("marks", F.array_join(F.transform("letter_words", lambda w: F.when(F.length(w) <= F.col("longest"), F.get(F.array(*map(F.lit, MARKS)), F.array_position("common", w).cast("int"))).otherwise(F.lit(""))), ""))
     )
-    spaced = F.concat(F.lit(" "), "spaced", F.lit(" "))
-    blanks = F.length("spaced") - F.length(F.replace("spaced", F.lit("  "), F.lit("")))
-    found = lambda w: F.expr("octet_length(framed)") - F.octet_length(F.replace(F.col("framed"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit("")))
     measured = counted.select(
         "id",
         F.size("words").cast("long").alias("n_words"),
@@ -145,13 +162,12 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         (F.length("no_mark") - F.length(F.translate("no_mark", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         _covered_words(F.col("order")).alias("n_repeat_words"),
-        "classes", "common", "word_share", "class_share", spaced.alias("framed"),
-        F.when(F.col("spaced") == "", F.lit(0)).otherwise(F.expr("1") + (blanks / 2).cast("long")).cast("long").alias("n_letter_words"),
+        "classes", "word_share", "class_share", F.size("letter_words").cast("long").alias("n_letter_words"),
+        F.transform("common", lambda w, i: (F.length("marks") - F.length(F.replace(F.col("marks"), F.get(F.array(*map(F.lit, MARKS)), i + 1), F.lit("")))).cast("long")).alias("found"),
     )
-    common = F.transform("common", lambda w: (found(w) / (F.octet_length(w) + 2)).cast("long"))
     long_enough = F.col("n_letter_words") >= MIN_WORDS
     limit = lambda base: F.lit(base[0]) + F.lit(base[1]) / F.sqrt("n_letter_words")
-    out = measured.withColumn("found", common).select(
+    out = measured.select(
         "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"),
         F.when(long_enough, distance(_of_total(F.col("classes")), F.col("class_share"))).alias("class_distance"),
