@@ -9,8 +9,9 @@ sequences of their own.
 
 Defined cases: a null text counts as empty and gives one piece with the closing
 id alone; null ids are kept; repeated rows are packed as rows of their own; an
-empty table gives no rows. Strings of special tokens in a text are ordinary
-text. Only the named columns are read.
+empty table gives no rows. The string of a token that the tokenizer adds to its
+vocabulary is that token's id, as in the tokenizer's own default. Only the named
+columns are read.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from seriesloom.session import stage
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
-DEFAULT_RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+#: The public vocabulary's name, and its added tokens, which ranks don't list. Fixed values.
+RANKS, ADDED = "byte_bpe_50k.tiktoken", {"<|endoftext|>": 50256}
 #: Pieces a task packs, about; words kept with their ids in a task.
 PER_TASK, WORDS = 200_000, 400_000
 
@@ -44,12 +46,17 @@ class WordIds(dict):
     encoded run by run.
     """
 
-    def __init__(self, ranks_path: str):
+    def __init__(self, ranks_path: str | None = None):
         import tiktoken
 
+        if ranks_path is None:
+            import public_tokenizers
+
+            ranks_path = public_tokenizers.path(RANKS)
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.added = re.compile("(" + "|".join(map(re.escape, ADDED)) + ")").split
         self.runs = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
 
     def __missing__(self, word: str) -> bytes:
@@ -59,10 +66,12 @@ class WordIds(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        if any(token in text for token in ADDED):
+            return b"".join(np.array([ADDED[p]], "<u4").tobytes() if p in ADDED else self.encode(p) for p in self.added(text) if p)
         return b"".join(map(self.__getitem__, self.runs(text)))
 
 
-def token_pieces(df: DataFrame, id_col: str, text_col: str, limit: int = 1024, end_id: int = 2, ranks_path: str = DEFAULT_RANKS) -> DataFrame:
+def token_pieces(df: DataFrame, id_col: str, text_col: str, limit: int = 1024, end_id: int = 2, ranks_path: str | None = None) -> DataFrame:
     """id, piece, start, length, ids_crc32: whole documents, longer ones cut so that all but the first piece are full."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
