@@ -17,6 +17,14 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """The name, with underscores ahead until no column has it (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def learns_from(name: str, modulus: int, held: int) -> Column:
     """True on rows whose crc32 of the id, as text, leaves another remainder than ``held``.
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesloom.llm.common import text_of
+from seriesloom.llm.common import free_name, text_of
 
 SAMPLE, LEAST_STEPS = 4000, 120
 WINDOW, STRIDE = 32, 16
@@ -309,7 +309,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Trains on at most ``sample`` labelled rows; ids join texts with labels."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
     chosen = known.orderBy(F.xxhash64("__id"), "__y").limit(sample)  # bounded by the parameter
-    rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select("__id", text_of(text_col).alias("__text"), "__y")
+    texts = docs.select(F.col(id_col).alias("__doc"), text_of(text_col).alias("__text"))
+    rows = texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("__id", "__text", "__y")
     got = rows.orderBy(F.xxhash64("__id"), "__text").limit(sample).collect()
     return train([r[1] for r in got], np.array([r[2] for r in got]))
 
@@ -318,13 +319,14 @@ def score(docs: DataFrame, net: dict | None, id_col: str = "doc_id", text_col: s
     """The id, the columns named in ``carry`` and the score."""
     model = docs.sparkSession.sparkContext.broadcast(net)  # bounded: BUCKETS x DIM and a few small matrices
     cols = list(dict.fromkeys((id_col, *carry)))
+    held = free_name([*cols, score_col], "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                scores = score_texts(model.value, [t or "" for t in part.column("__text").to_pylist()])
+                scores = score_texts(model.value, [t or "" for t in part.column(held).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in cols), pa.array(scores, pa.float64())], names=[*cols, score_col])
 
-    slim = docs.select(*cols, F.col(text_col).cast("string").alias("__text"))
+    slim = docs.select(*cols, F.col(text_col).cast("string").alias(held))
     return slim.mapInArrow(run, slim.select(*cols, F.lit(0.0).alias(score_col)).schema)
