@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seriesloom.llm import decontaminate, jaccard, packing, secrets, toxicity
-from seriesloom.llm.common import learns_from, table
+from seriesloom.llm.common import free_name, learns_from, table
 from seriesloom.session import stage
 
 REJECT = 0.3
@@ -28,7 +28,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Trained on the labelled rows of this stage's own documents; keeps those scored below ``REJECT``."""
     labels = table(spark, sf_dir, "labels").where(learns_from("doc_id", 4, 2))
     net = toxicity.fit(docs, labels)
-    return toxicity.score(docs, net, carry=tuple(docs.columns), score_col="__toxicity").where(F.col("__toxicity") < REJECT).select(*docs.columns)
+    score = free_name(docs.columns, "__toxicity")
+    return toxicity.score(docs, net, carry=tuple(docs.columns), score_col=score).where(F.col(score) < REJECT).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
