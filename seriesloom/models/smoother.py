@@ -1,13 +1,13 @@
 """Smooth daily curves: Gaussian process regression for many series.
 
 Constant mean, squared-exponential correlation, a nugget, and the length scale
-by maximum likelihood over a grid. The correlation is written as a sum of
-cosines and sines with equally spaced frequencies, exact to rounding over a
-group's span, so no matrix grows with a group's rows: products of two of these
-functions are again cosines and sines, whose sums over chunks of a group give
-the normal equations, and each group and length scale solves one small system.
-Frequencies needed: about 1.9 times the span in standard deviations times the
-root of theta, and 12 more; 80 for even stamps and the largest theta searched.
+by maximum likelihood: a coarse grid, then a search around each of its peaks. The
+correlation over a group's span is a form in Chebyshev polynomials, exact to
+rounding, whose basis does not depend on the length scale. Products of two
+polynomials are again such polynomials, so their sums over parts of a group,
+taken once, give the normal equations of every length scale, and no matrix
+grows with a group's rows. Polynomials needed: about six times the span in
+standard deviations times the root of the largest theta, and 20 more.
 """
 
 from __future__ import annotations
@@ -17,20 +17,76 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Length scales searched, evenly spaced in the logarithm over [0.001, 100].
+# Length scales looked at first, evenly spaced in the logarithm over [0.001, 100].
 THETAS = [float(t) for t in np.logspace(-3, 2, 11)]
-# Correlations below exp(-REACH) are rounding.
-REACH = 36.0
+# Correlations below exp(-REACH) are rounding; the search ends at this ratio of two thetas.
+REACH, CLOSE = 36.0, 1.0005
 
 
-def frequencies(theta: float, span: float) -> tuple[float, np.ndarray]:
-    """Step between frequencies, and the weight of each multiple of it from 0 on."""
-    period = span + np.sqrt(REACH / theta)
-    step = 2 * np.pi / period
-    multiples = np.arange(int(np.ceil(np.sqrt(4 * theta * REACH) / step)) + 1)
-    weights = np.sqrt(np.pi / theta) / period * np.exp(-((multiples * step) ** 2) / (4 * theta))
-    weights[1:] *= 2
-    return step, weights
+def degree(theta: float, half: float) -> int:
+    """Polynomials that carry the correlation on a span of twice ``half`` standard deviations."""
+    return int(np.ceil(2 * np.sqrt(REACH * theta) * half)) + 20
+
+
+def factor(theta: float, half: float) -> np.ndarray:
+    """F (polynomials x rank) with T F F' T' = correlations, for polynomials T over the span."""
+    m = degree(theta, half)
+    at = np.pi * (np.arange(m) + 0.5) / m
+    z, waves = np.cos(at), np.cos(np.outer(np.arange(m), at)) * (2 / m)
+    waves[0] /= 2
+    form = waves @ np.exp(-theta * half**2 * (z[:, None] - z) ** 2) @ waves.T
+    size, axes = np.linalg.eigh((form + form.T) / 2)
+    keep = size > size[-1] * 1e-14
+    return axes[:, keep] * np.sqrt(size[keep])
+
+
+class Sums:
+    """What the likelihood of any length scale needs to know of a group."""
+
+    def __init__(self, waves: np.ndarray, v_waves: np.ndarray, n: int, v1: float, vv: float, noise: float, half: float):
+        self.waves, self.v_waves, self.n, self.v1, self.vv, self.noise, self.half = waves, v_waves, n, v1, vv, noise, half
+
+    def fit(self, theta: float) -> tuple[float, float, np.ndarray]:
+        """Likelihood, mean and weights of the polynomials."""
+        f = factor(theta, self.half)
+        m = len(f)
+        i, k = np.indices((m, m))
+        gram = f.T @ ((self.waves[i + k] + self.waves[np.abs(i - k)]) / 2) @ f
+        root = np.linalg.cholesky(gram + self.noise * np.eye(len(gram)))
+        ones, target = np.linalg.solve(root, f.T @ np.column_stack([self.waves[:m], self.v_waves[:m]])).T
+        mean = (self.v1 - ones @ target) / (self.n - ones @ ones)
+        rest = (self.vv - target @ target - mean * (self.v1 - ones @ target)) / self.noise
+        variance = max(rest / self.n, np.finfo(float).tiny)
+        log_det = (self.n - len(gram)) * np.log(self.noise) + 2 * np.log(np.diag(root)).sum()
+        return -np.log(variance) - log_det / self.n, mean, f @ np.linalg.solve(root.T, target - mean * ones)
+
+    def best(self, thetas: list[float], search: bool) -> float:
+        """The likeliest of the given length scales; with ``search``, the top of the best peak among them."""
+        like = [self.fit(t)[0] for t in thetas]
+        if not search:
+            return thetas[int(np.argmax(like))]
+        found = []
+        for i, value in enumerate(like):
+            low, high = max(i - 1, 0), min(i + 1, len(like) - 1)
+            if value >= max(like[low : high + 1]):
+                found.append(self._peak(np.log(thetas[low]), np.log(thetas[high])))
+        return max([*found, *zip(like, thetas)])[1]
+
+    def _peak(self, low: float, high: float) -> tuple[float, float]:
+        """Golden section in the logarithm of theta."""
+        part = (np.sqrt(5) - 1) / 2
+        a, b = high - part * (high - low), low + part * (high - low)
+        at_a, at_b = self.fit(np.exp(a))[0], self.fit(np.exp(b))[0]
+        while high - low > np.log(CLOSE):
+            if at_a >= at_b:
+                high, b, at_b = b, a, at_a
+                a = high - part * (high - low)
+                at_a = self.fit(np.exp(a))[0]
+            else:
+                low, a, at_a = a, b, at_b
+                b = low + part * (high - low)
+                at_b = self.fit(np.exp(b))[0]
+        return max((at_a, float(np.exp(a))), (at_b, float(np.exp(b))))
 
 
 def _per_group(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -52,8 +108,9 @@ def smooth(
     """``keys, x, y_hat, theta`` for every row; rows whose ``y`` is NULL are
     predicted, the others are fitted too.
 
-    ``nugget`` is positive and the same in all rows of a group. Groups are summed
-    in parts of about ``chunk`` rows, so one may hold any number of them.
+    ``nugget`` is positive and the same in all rows of a group. ``thetas`` are the
+    only length scales then; without them the likeliest in [0.001, 100] is searched for.
+    Groups are summed in parts of about ``chunk`` rows, so one may hold any number of them.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
@@ -68,69 +125,44 @@ def smooth(
 
     extent = rows.groupBy(*keys).agg(
         F.avg(seen).alias("x0"), spread(seen).alias("dx"), F.avg("y").alias("y0"), spread("y").alias("dy"),
-        (F.max("x") - F.min("x")).alias("range"), F.count("y").alias("n"),
+        F.min("x").alias("low"), F.max("x").alias("high"), F.count("y").alias("n"),
     )
     placed = _per_group(rows, extent, keys).withColumns(
         {
-            "u": (F.col("x") - F.col("x0")) / F.col("dx"),
+            "z": F.try_divide(2 * F.col("x") - F.col("low") - F.col("high"), F.col("high") - F.col("low")),
             "v": (F.col("y") - F.col("y0")) / F.col("dy"),
-            "span": F.col("range") / F.col("dx"),
+            "half": (F.col("high") - F.col("low")) / F.col("dx") / 2,
             "part": F.expr(f"pmod(xxhash64(x, y), greatest(1, ceil(n / {chunk})))"),
         }
-    )
+    ).withColumn("angle", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce("z", F.lit(0.0))))))
+    most = max(grid)
 
     def sums(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Of one part: sums of all cosines and sines, plain up to twice the highest, times v up to it."""
-        u, v = pdf["u"].to_numpy(), pdf["v"].to_numpy()
-        found = []
-        for theta in grid:
-            step, weights = frequencies(theta, pdf["span"].iloc[0])
-            angle = np.outer(np.arange(2 * len(weights) - 1), step * u)
-            cos, sin, m = np.cos(angle), np.sin(angle), len(weights)
-            found.append(np.concatenate([cos.sum(axis=1), sin.sum(axis=1), cos[:m] @ v, sin[:m] @ v]))
-        head = pdf[[*keys, "span", "nugget"]].iloc[[0] * len(grid)]
-        return head.assign(theta=grid, n=len(u), v1=v.sum(), vv=v @ v, sums=found)
+        """Of one part: sums of all polynomials up to twice the highest, and times v up to it."""
+        angle, v, half = pdf["angle"].to_numpy(), pdf["v"].to_numpy(), pdf["half"].iloc[0]
+        m = degree(most, half)
+        waves, v_waves = np.zeros(2 * m), np.zeros(m)
+        for at in range(0, len(v), 2048):
+            wave = np.cos(np.outer(np.arange(2 * m), angle[at : at + 2048]))
+            waves += wave.sum(axis=1)
+            v_waves += wave[:m] @ v[at : at + 2048]
+        return pdf[[*keys, "half", "nugget"]].iloc[:1].assign(n=len(v), v1=v.sum(), vv=v @ v, sums=[np.concatenate([waves, v_waves])])
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Likelihood, mean and weights of the functions, for one group and theta."""
-        noise, n, v1, vv = pdf["nugget"].iloc[0], pdf["n"].sum(), pdf["v1"].sum(), pdf["vv"].sum()
-        step, weights = frequencies(pdf["theta"].iloc[0], pdf["span"].iloc[0])
-        m = len(weights)
-        cos, sin, v_cos, v_sin = np.split(np.sum(np.stack(pdf["sums"]), axis=0), [2 * m - 1, 4 * m - 2, 5 * m - 2])
-        i, k = np.indices((m, m))
-        apart, both = np.abs(i - k), i + k
-        mixed = (sin[both] + np.sign(i - k) * sin[apart]) / 2
-        gram = np.block([[(cos[apart] + cos[both]) / 2, mixed.T], [mixed, (cos[apart] - cos[both]) / 2]])
-        size = np.sqrt(np.concatenate([weights, weights]))
-        factor = np.linalg.cholesky(size[:, None] * gram * size + noise * np.eye(2 * m))
-        ones, target = np.linalg.solve(
-            factor, np.column_stack([size * np.concatenate([cos[:m], sin[:m]]), size * np.concatenate([v_cos, v_sin])])
-        ).T
-        mean = (v1 - ones @ target) / (n - ones @ ones)
-        rest = (vv - target @ target - mean * (v1 - ones @ target)) / noise
-        variance = max(rest / n, np.finfo(float).tiny)
-        log_det = (n - 2 * m) * np.log(noise) + 2 * np.log(np.diag(factor)).sum()
-        coefs = size * np.linalg.solve(factor.T, target - mean * ones)
-        return pdf[[*keys, "theta"]].iloc[:1].assign(
-            likelihood=-np.log(variance) - log_det / n, step=step, mean=mean, coefs=[coefs]
-        )
+        """Length scale, mean and weights of the polynomials, for one group."""
+        waves, v_waves = np.split(np.sum(np.stack(pdf["sums"]), axis=0), [2 * degree(most, pdf["half"].iloc[0])])
+        group = Sums(waves, v_waves, pdf["n"].sum(), pdf["v1"].sum(), pdf["vv"].sum(), pdf["nugget"].iloc[0], pdf["half"].iloc[0])
+        theta = group.best(grid, thetas is None)
+        _, mean, coefs = group.fit(theta)
+        return pdf[keys].iloc[:1].assign(theta=theta, mean=mean, coefs=[coefs])
 
     parts = placed.where(F.col("v").isNotNull()).groupBy(*keys, "part").applyInPandas(
-        sums, f"{key_schema}, span double, nugget double, theta double, n long, v1 double, vv double, sums array<double>"
-    )
-    solved = parts.groupBy(*keys, "theta").applyInPandas(
-        solve, f"{key_schema}, theta double, likelihood double, step double, mean double, coefs array<double>"
+        sums, f"{key_schema}, half double, nugget double, n long, v1 double, vv double, sums array<double>"
     )
-    best = solved.groupBy(*keys).agg(F.max_by(F.struct("theta", "step", "mean", "coefs"), "likelihood").alias("fit"))
-    m = F.expr("size(fit.coefs) div 2")
-    angle = F.col("fit.step") * F.col("u")
-
-    def term(j):
-        return F.get("fit.coefs", j) * F.cos(j * angle) + F.get("fit.coefs", j + m) * F.sin(j * angle)
-
-    places = F.transform(F.sequence(F.lit(0), m.cast("int") - 1), lambda j: j)
-    curve = F.aggregate(F.transform(places, lambda j: term(j.cast("int"))), F.lit(0.0), lambda s, t: s + t)
+    # A row a part: some hundred sums for every ``chunk`` rows of the group.
+    best = parts.groupBy(*keys).applyInPandas(solve, f"{key_schema}, theta double, mean double, coefs array<double>")
+    fitted = _per_group(placed, best.select(*keys, F.struct("theta", "mean", "coefs").alias("fit")), keys)
+    terms = F.transform(F.col("fit.coefs"), lambda c, j: c * F.cos(j * F.col("angle")))
+    curve = F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
     level = F.col("y0") + F.col("dy") * (F.col("fit.mean") + curve)
-    return _per_group(placed, best, keys).select(
-        *keys, "x", F.when(F.col("fit").isNotNull(), level).alias("y_hat"), F.col("fit.theta").alias("theta")
-    )
+    return fitted.select(*keys, "x", F.when(F.col("fit").isNotNull(), level).alias("y_hat"), F.col("fit.theta").alias("theta"))

@@ -130,6 +130,35 @@ def test_smoother_against_the_dense_formula(spark):
     assert np.allclose([r.y_hat for r in out if r.k == "one"], 2.0)
 
 
+def test_smoother_finds_the_likeliest_length_scale(spark):
+    """Within 1 % of a dense search, also where the coarse grid has two peaks or the top lies at an end."""
+    rng = np.random.default_rng(8)
+    x = np.sort(rng.uniform(0, 50, 60))
+    shapes = {
+        "slow": np.sin(x / 9), "fast": np.sin(x * 1.2), "both": np.sin(x / 9) + 0.8 * np.sin(x * 1.2), "line": x / 10,
+        "noise": rng.normal(size=60),
+    }
+    values = {k: v + rng.normal(scale=0.1, size=60) for k, v in shapes.items()}
+    rows = [(k, float(a), float(b), 0.5) for k, v in values.items() for a, b in zip(x, v)]
+    out = smoother.smooth(spark.createDataFrame(rows, "k string, x double, y double, nugget double"), ["k"], "x", "y", "nugget", chunk=25)
+    got = {r.k: r.theta for r in out.select("k", "theta").distinct().collect()}
+    u = (x - x.mean()) / x.std()
+    for k, y in values.items():
+        v = (y - y.mean()) / y.std()
+
+        def like(theta):
+            r = np.exp(-theta * (u[:, None] - u) ** 2) + 0.5 * np.eye(60)
+            inv, one = np.linalg.inv(r), np.ones(60)
+            rest = v - one @ inv @ v / (one @ inv @ one)
+            return -math.log(rest @ inv @ rest / 60) - np.linalg.slogdet(r)[1] / 60
+
+        dense = np.logspace(-3, 2, 101)
+        top = dense[np.argmax([like(t) for t in dense])]
+        near = np.clip(top * np.logspace(-0.06, 0.06, 61), 1e-3, 100)
+        top = near[np.argmax([like(t) for t in near])]
+        assert abs(math.log(got[k] / top)) < 0.01 or like(got[k]) >= like(top)
+
+
 def test_smoother_takes_groups_of_any_size_and_parts_change_nothing(spark):
     df = spark.range(20_000).selectExpr(
         "if(id % 2 = 0, 'a', NULL) AS k", "double(id) AS x", "if(id % 7 = 3, NULL, sin(id / 900)) AS y", "0.5D AS nugget"
