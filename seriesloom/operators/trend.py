@@ -16,22 +16,34 @@ def moving_average(
 
 
 def daily_to_hourly(
-    hourly: DataFrame, daily: DataFrame, keys: list[str], ts: str, cols: list[str]
+    hourly: DataFrame, daily: DataFrame, keys: list[str], ts: str, cols: list[str], complete: bool = False
 ) -> DataFrame:
     """Give each hour the daily values of its day, or of the last earlier day
     that has them.
 
-    A day's row is put ahead of its hours and carried forward: one shuffle by
-    series, no join. The order runs over the hours of one series, which the
-    calendar bounds.
+    The days are completed, not the hours: a day's values are repeated up to the
+    next row's day, and hours look theirs up by (series, day), so wide hourly
+    rows are not sorted. Hours after the last daily row take its values by series;
+    ``complete`` says that there are none and saves that look-up.
     """
-    values = [F.col(c).alias(f"__{c}") for c in cols]
-    stamped = daily.select(*keys, F.col("day").cast("timestamp_ntz").alias(ts), F.lit(0).alias("__hour"), *values)
-    both = hourly.withColumn("__hour", F.lit(1)).unionByName(stamped, allowMissingColumns=True)
-    upto = (
-        Window.partitionBy(*keys)
-        .orderBy(F.to_date(ts), "__hour")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    filled = both.withColumns({c: F.last(f"__{c}", True).over(upto) for c in cols})
-    return filled.where("__hour = 1").drop("__hour", *[f"__{c}" for c in cols])
+    by_day = Window.partitionBy(*keys).orderBy("day")
+    upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = daily.select(*keys, F.to_date("day").alias("day"), *cols)
+    known = known.withColumns({c: F.last(c, True).over(upto) for c in cols}).withColumn("__next", F.lead("day").over(by_day))
+    end = F.greatest("day", F.coalesce(F.date_sub("__next", 1), F.col("day")))
+    filled = known.withColumn("__day", F.explode(F.sequence("day", end)))
+    rest = [c for c in hourly.columns if c not in cols]
+
+    def joined(rows: DataFrame, values: DataFrame, mark: str, *extra) -> DataFrame:
+        named = values.select(*(F.col(k).alias(f"{mark}{k}") for k in keys), *(F.col(c).alias(f"{mark}{c}") for c in cols), *extra)
+        on = [F.col(k).eqNullSafe(F.col(f"{mark}{k}")) for k in keys]
+        if mark == "__on_":
+            on.append(F.to_date(ts) == F.col("__day"))
+        return rows.join(named, on, "left")
+
+    out = joined(hourly.select(*rest), filled, "__on_", "__day")
+    if complete:
+        return out.select(*rest, *(F.col(f"__on_{c}").alias(c) for c in cols))
+    out = joined(out, known.where("__next IS NULL"), "__past_", F.col("day").alias("__last"))
+    past = F.to_date(ts) > F.col("__last")
+    return out.select(*rest, *(F.when(past, F.col(f"__past_{c}")).otherwise(F.col(f"__on_{c}")).alias(c) for c in cols))

@@ -76,9 +76,11 @@ def average_trend(feats: DataFrame, spec: PanelSpec, span: int = 3) -> DataFrame
 
 
 def with_totals(feats: DataFrame, daily_trend: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Hours with the daily trend ``S_total`` of their day, or of the last day that has one."""
+    """Hours with the daily trend ``S_total`` of their day, or of the last day that has one.
+
+    The trend has a row for every day of the hours, which it was made of."""
     totals = [f"{s}_total" for s in spec.segments]
-    return trend.daily_to_hourly(feats, daily_trend, spec.keys, spec.ts, totals)
+    return trend.daily_to_hourly(feats, daily_trend, spec.keys, spec.ts, totals, complete=True)
 
 
 def shares(totals: DataFrame, spec: PanelSpec) -> DataFrame:

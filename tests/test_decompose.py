@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from helpers import at, panel
 from pyspark.sql import functions as F
 
@@ -119,3 +120,31 @@ def test_long_and_wide_predictions_are_inverse(spark):
     assert long.count() == 3
     wide = predictions.pivot_predictions(long, ["k"], "ts", ["m", "n"], ["s"]).orderBy("ts").collect()
     assert [(r.log_s_m_pred, r.log_s_n_pred) for r in wide] == [(1.0, None), (2.0, 3.0)]
+
+
+@pytest.mark.parametrize("shift, scale", [(1.7e9, 1.0), (0.0, 1.5e-7), (-1e300, 1e296)])
+def test_weighted_median_narrows_ranges_of_any_place(spark, shift, scale):
+    """Values that one logarithmic step holds: no window sees more than ``few`` of a group."""
+    df = spark.range(6_000).selectExpr("if(id % 3 = 0, 'a', NULL) AS k", f"{shift}D + id * {scale}D AS v", "double(id % 5) AS w")
+    rows = [(r.k, r.v, r.w) for r in df.collect()]
+    out = {r.k: r.median for r in weighted.weighted_median(df, ["k"], "v", "w", detail=16, few=20).collect()}
+    assert out == {k: brute_weighted_median([(v, w) for kk, v, w in rows if kk == k and w > 0]) for k in ("a", None)}
+
+
+def test_hourly_trend_reads_its_hours_twice(spark, tmp_path):
+    """One narrow pass for the profile, one for the hours; no wide sort for the daily totals."""
+    from seriesloom.plans import forecast
+    from seriesloom.plans.spec import PanelSpec
+
+    spec = PanelSpec(["k"], segments=["s"], total="s")
+    hours = spark.range(240).selectExpr("'a' AS k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, cast(id AS int)) AS ts", "1 AS workingday", "double(id % 24) AS s", "ln(id % 24 + 1) AS log_s")
+    hours.write.parquet(str(tmp_path / "hours"))
+    days = spark.range(10).selectExpr("'a' AS k", "date_add(date'2024-01-01', cast(id AS int)) AS day", "276D AS s_total")
+    days.write.parquet(str(tmp_path / "days"))
+    feats, daily = (spark.read.parquet(str(tmp_path / n)) for n in ("hours", "days"))
+    out = forecast.residuals(feats, daily, spec)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("log_s#") and plan.count("Window") <= 6
+    reads = [line for line in plan.splitlines() if "Relation [" in line]
+    assert sum("workingday" in line for line in reads) == 2
+    assert all(abs(r.s_trend - r.s) < 1e-9 for r in out.collect())
