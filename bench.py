@@ -6,6 +6,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -14,6 +15,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from queries import registry  # noqa: E402
+from seriesloom.session import drop_stages  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -37,7 +39,9 @@ ONLY = list(registry.QUERIES) if _asked == "all" else [n for n in _asked.split("
 def run(spark: SparkSession, name: str) -> float:
     start = time.time()
     registry.QUERIES[name](spark, SF_DIR).write.format("noop").mode("overwrite").save()
-    return time.time() - start
+    took = time.time() - start
+    drop_stages(spark)
+    return took
 
 
 def main() -> None:
@@ -48,6 +52,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "20g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

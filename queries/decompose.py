@@ -518,10 +518,10 @@ FROM fitted WHERE data_set = 0 AND count IS NOT NULL GROUP BY 1""",
     ),
     "prediction_full_outer": sql.panel(
         sql.PROFILE,
-        f"""SELECT user_id, ts, t.registered, t.casual,
-  {", ".join(f"round({m}_{s}.p, 6) AS log_{s}_{m}_pred" for m in MODELS for s in SEGMENTS)}
-FROM tagged t {" ".join(f'''FULL OUTER JOIN (SELECT user_id, ts, log_pred AS p FROM model_table
-  WHERE model = '{m}' AND segment = '{s}') {m}_{s} USING (user_id, ts)''' for m in MODELS for s in SEGMENTS)}""",
+        f"""SELECT user_id, ts, max(registered) AS registered, max(casual) AS casual,
+  {", ".join(f"round(max(p) FILTER (model = '{m}' AND segment = '{s}'), 6) AS log_{s}_{m}_pred" for m in MODELS for s in SEGMENTS)}
+FROM (SELECT user_id, ts, registered, casual, NULL AS model, NULL AS segment, NULL::DOUBLE AS p FROM tagged
+  UNION ALL SELECT user_id, ts, NULL, NULL, model, segment, log_pred FROM model_table) GROUP BY user_id, ts""",
         _MODEL_TABLE,
     ),
     "forecast_submission": sql.panel(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from queries import fixtures as fx
@@ -9,7 +10,7 @@ from queries import sql
 from seriesloom.functions.scalars import day_of, fold_label
 from seriesloom.operators import calendar as cal
 from seriesloom.operators import gaps, grid, lags
-from seriesloom.session import scratch_path
+from seriesloom.session import scratch_path, stage
 from seriesloom.sources.csv import read_csv, write_csv
 
 KEYS, TS = fx.KEYS, fx.TS
@@ -173,6 +174,21 @@ def complete_cases(spark, sf_dir):
     return df.na.drop().select(*KEYS, TS, "registered", "casual", *fx.WEATHER)
 
 
+def panel_counts(spark, sf_dir):
+    """What a run reports: slots, missing ones and the days they are on, bad days, training samples and features.
+
+    The first four are counted while the days are written, the samples while the rows pass."""
+    slots, rows = Observation("slots"), Observation("rows")
+    seen = fx.gridded(spark, sf_dir).observe(slots, F.count(F.lit(1)).alias("slots"), F.count_if(F.col("weather").isNull()).alias("missing"))
+    days = grid.missing_by_day(seen, KEYS, TS, "weather", fx.MAX_MISSING)
+    bad = stage(days.observe(rows, F.count(F.lit(1)).alias("days"), F.sum("bad_day").alias("bad_days")), "missing-days")
+    samples, passed = Observation("samples"), complete_cases(spark, sf_dir)
+    stage(passed.observe(samples, F.count(F.lit(1)).alias("samples")), "samples")
+    features = len([c for c in passed.columns if c not in (*KEYS, TS, "registered", "casual")])
+    counted = (slots.get["slots"], slots.get["missing"], rows.get["days"], rows.get["bad_days"] or 0, samples.get["samples"], features)
+    return bad.sparkSession.createDataFrame([counted], "slots long, missing long, missing_days long, bad_days long, samples long, features int")
+
+
 def fold_assign(spark, sf_dir):
     df = fx.tagged(spark, sf_dir).select(*KEYS, TS)
     return df.withColumn("fold", fold_label(TS))
@@ -196,7 +212,7 @@ QUERIES = {
         interpolate_ordinal, interpolate_time_chunked, backfill, forward_fill,
         forward_fill_chunked, grid_repair, calendar_override, date_parts, log_targets, clock_lag,
         clock_lag_sparse, clock_lag_chunked, lag_fanout, offday_run_length,
-        offday_run_length_chunked, feature_projection, complete_cases, fold_assign, holdout_mask,
+        offday_run_length_chunked, feature_projection, complete_cases, fold_assign, holdout_mask, panel_counts,
     )
 }
 
@@ -330,6 +346,13 @@ FROM (SELECT *, sum(turn) OVER (PARTITION BY event_type ORDER BY ts ROWS UNBOUND
         """SELECT user_id, ts, registered, casual, atemp, humidity, temp, weather, windspeed FROM clean
 WHERE data_set = 0 AND atemp IS NOT NULL AND humidity IS NOT NULL AND windspeed IS NOT NULL
   AND temp IS NOT NULL AND weather IS NOT NULL AND registered IS NOT NULL AND casual IS NOT NULL""",
+    ),
+    "panel_counts": sql.panel(
+        sql.CLEAN,
+        """SELECT (SELECT count(*) FROM gridded) AS slots, sum(n)::BIGINT AS missing, count(*) AS missing_days, (count(*) FILTER (n > 23)) AS bad_days,
+  (SELECT count(*) FROM clean WHERE data_set = 0 AND atemp IS NOT NULL AND humidity IS NOT NULL AND windspeed IS NOT NULL
+    AND temp IS NOT NULL AND weather IS NOT NULL AND registered IS NOT NULL AND casual IS NOT NULL) AS samples, 5 AS features
+FROM (SELECT user_id, ts::DATE AS day, count(*) AS n FROM gridded WHERE weather IS NULL GROUP BY 1, 2)""",
     ),
     "fold_assign": sql.panel(
         sql.TAGGED,

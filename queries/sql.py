@@ -1,4 +1,7 @@
-"""DuckDB equivalents of the fixtures, as a chain of common table expressions."""
+"""DuckDB equivalents of the fixtures, as a chain of common table expressions.
+
+Blocks that several others read are materialised, so that each is computed once.
+"""
 
 from __future__ import annotations
 
@@ -52,7 +55,7 @@ def same_day(c: str, ts: str) -> str:
 
 
 OBS = """
-obs AS (
+obs AS MATERIALIZED (
   SELECT user_id, date_trunc('hour', ts) AS ts,
     count(*) FILTER (event_type IN ('purchase', 'signup')) AS registered,
     count(*) FILTER (event_type IN ('click', 'view')) AS casual,
@@ -67,7 +70,7 @@ obs AS (
   FROM (SELECT *, round(value * 100)::BIGINT AS h FROM events) GROUP BY 1, 2)"""
 
 TAGGED = """
-tagged AS (
+tagged AS MATERIALIZED (
   SELECT user_id, ts, weather, temp, atemp, humidity, windspeed,
     (isodow(ts) <= 5)::INT AS workingday, 0::INT AS holiday,
     CASE WHEN day(ts) <= 19 THEN registered END AS registered,
@@ -81,7 +84,7 @@ GRID = """
 slots AS (
   SELECT user_id, unnest(generate_series(min(ts), max(ts), INTERVAL 1 HOUR)) AS ts
   FROM tagged GROUP BY user_id),
-gridded AS (SELECT * FROM slots LEFT JOIN tagged USING (user_id, ts))"""
+gridded AS MATERIALIZED (SELECT * FROM slots LEFT JOIN tagged USING (user_id, ts))"""
 
 _FILLED = ["temp", "atemp", "windspeed", "weather", "humidity", "workingday", "holiday", "data_set"]
 
@@ -96,7 +99,7 @@ repaired AS (
     {", ".join(f"{ordinal(c, 'ts')} AS {c}" for c in ["weather", "humidity"])},
     {", ".join(f"{same_day(c, 'ts')} AS {c}" for c in ["workingday", "holiday", "data_set"])}
   FROM near),
-clean AS (
+clean AS MATERIALIZED (
   SELECT * REPLACE (
     CASE ts::DATE WHEN DATE '2024-01-15' THEN 0 WHEN DATE '2024-01-20' THEN 1 ELSE workingday END AS workingday,
     CASE ts::DATE WHEN DATE '2024-01-15' THEN 1 WHEN DATE '2024-01-20' THEN 0 ELSE holiday END AS holiday)
@@ -114,7 +117,7 @@ turns AS (
     THEN 0 ELSE 1 END AS turn FROM clean),
 islands AS (
   SELECT *, sum(turn) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS island FROM turns),
-features AS (
+features AS MATERIALIZED (
   SELECT * EXCLUDE (turn, island),
     ln(count + 1) AS log_count, ln(registered + 1) AS log_registered, ln(casual + 1) AS log_casual,
     (year(ts) - 2024)::INT AS year, month(ts)::INT AS month, (isodow(ts) - 1)::INT AS day_of_week,
@@ -138,7 +141,7 @@ masked AS (
   SELECT * REPLACE ({", ".join(f"CASE WHEN bad_day = 1 THEN NULL ELSE {c} END AS {c}" for c in _BRIDGED)})
   FROM rolled),
 daily_near AS (SELECT *, {neighbours(_BRIDGED, "user_id", "day")} FROM masked),
-daily AS (
+daily AS MATERIALIZED (
   SELECT user_id, day, data_set, workingday, weekend, bad_day, day_of_week, month,
     {", ".join(f"{linear(c, 'day')} AS {c}" for c in _BRIDGED)}
   FROM daily_near)"""
@@ -154,7 +157,7 @@ carried AS (
     last_value(registered_ma IGNORE NULLS) OVER w AS registered_ma,
     last_value(casual_ma IGNORE NULLS) OVER w AS casual_ma
   FROM average_trend WINDOW w AS (PARTITION BY user_id ORDER BY day ROWS UNBOUNDED PRECEDING)),
-totals AS (
+totals AS MATERIALIZED (
   SELECT f.*, c.registered_ma, c.casual_ma
   FROM features f LEFT JOIN carried c ON f.user_id = c.user_id AND f.ts::DATE = c.day)"""
 
@@ -172,7 +175,7 @@ hourly_trend AS (
     coalesce(casual_share, 0) * casual_ma AS casual_trend
   FROM totals t LEFT JOIN shares s
     ON t.user_id = s.user_id AND t.workingday = s.workingday AND t.hour = s.hour),
-residuals AS (
+residuals AS MATERIALIZED (
   SELECT *, ln(registered_trend + 1) AS log_registered_trend, ln(casual_trend + 1) AS log_casual_trend,
     log_registered - ln(registered_trend + 1) AS log_registered_diff,
     log_casual - ln(casual_trend + 1) AS log_casual_diff

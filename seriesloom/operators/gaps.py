@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import day_of, micros_between
+from seriesloom.operators.grid import on_step
 from seriesloom.session import spread_by_keys
 
 
@@ -232,7 +233,7 @@ def fill_grid(
         {f"__next_{c}": F.last(_stamped(ts, c), True).over(after) for c in carried}
         | {"__hi": F.first(ts).over(back)}
     )
-    until = F.coalesce(F.col("__next_ts") - hour, F.col(ts))
+    until = on_step(F.col("__next_ts") - hour, keys, ts, "__next_ts", hour)
     slots = rows.withColumn("__slot", F.explode(F.sequence(F.col(ts), until, hour)))
 
     own = F.col("__slot") == F.col(ts)

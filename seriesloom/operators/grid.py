@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from seriesloom.functions.scalars import day_of, hour_of
+from seriesloom.functions.scalars import day_of, hour_of, micros_between
 from seriesloom.session import spread_by_keys
 
 
@@ -31,14 +31,14 @@ def regular_grid(
     """Every slot from a series' first to its last stamp; absent ones are NULL rows.
 
     Each row is stretched up to the slot before the next row of its series, so
-    the grid needs one shuffle by series and no join. ``(keys, ts)`` must be
-    unique and on the step.
+    the grid needs one shuffle by series and no join. A stamp that repeats, or
+    that does not lie on the series' steps, is refused by name on the way.
     """
     interval = F.expr(f"INTERVAL {step}")
     following = F.lead(ts).over(Window.partitionBy(*keys).orderBy(ts))
-    until = F.coalesce(following - interval, F.col(ts))
     values = [c for c in df.columns if c not in keys and c != ts]
-    slots = spread_by_keys(df, keys).withColumn("__until", until).withColumn(
+    rows = spread_by_keys(df, keys).withColumn("__next", following)
+    slots = rows.withColumn("__until", on_step(F.col("__next") - interval, keys, ts, "__next", interval)).withColumn(
         "__slot", F.explode(F.sequence(F.col(ts), F.col("__until"), interval))
     )
     observed = F.col("__slot") == F.col(ts)
@@ -49,6 +49,16 @@ def regular_grid(
     )
 
 
+def on_step(until: Column, keys: list[str], ts: str, following: str, interval: Column) -> Column:
+    """``until``, or the stamp itself where no row follows; an error naming the series if the next stamp is not whole steps later."""
+    gap, length = micros_between(following, ts), micros_between(F.col(ts) + interval, ts)
+    named = F.concat_ws(", ", *(F.concat(F.lit(f"{k}="), F.coalesce(F.col(k).cast("string"), F.lit("null"))) for k in keys))
+    told = F.concat(
+        F.when(gap == 0, "repeated stamp ").otherwise("stamp off the step after "), F.col(ts).cast("string"), F.lit(" in series "), named,
+    )
+    return F.when(F.col(following).isNull(), F.col(ts)).when((gap > 0) & (gap % length == 0), until).otherwise(F.raise_error(told))
+
+
 def spine(df: DataFrame, keys: list[str], ts: str, step: str = "1 HOUR") -> DataFrame:
     """Only the slots, from each series' extent (a map-side min/max).
 
@@ -125,16 +135,6 @@ def daily_rollup(
     )
 
 
-def midnight_value(
-    daily: DataFrame, hourly: DataFrame, keys: list[str], ts: str, value: str
-) -> DataFrame:
-    """Give each day the hourly value stamped exactly at its midnight."""
-    at_midnight = hourly.where(F.hour(ts) == 0).select(
-        *keys, day_of(ts).alias("day"), F.col(value)
-    )
-    return daily.join(at_midnight, [*keys, "day"], "left")
-
-
 def elapsed_days(df: DataFrame, keys: list[str], day: str, out: str = "elapsed") -> DataFrame:
     """Days since the first day of the series, for daily rows."""
     first = F.min(day).over(Window.partitionBy(*keys))

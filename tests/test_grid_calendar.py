@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import fold_label, to_count
 from seriesloom.operators import calendar as cal
-from seriesloom.operators import grid, lags, trend
+from seriesloom.operators import gaps, grid, lags, trend
 
 SERIES = "k string, ts timestamp_ntz, v double"
 
@@ -114,3 +114,14 @@ def test_rounding_to_counts(spark):
     df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (2.9,)], "v double")
     assert [r[0] for r in df.select(to_count("v")).collect()] == [0, 2, 2, 3]
     assert [r[0] for r in df.select(to_count("v", "truncate")).collect()] == [0, 1, 2, 2]
+
+
+@pytest.mark.parametrize("hours, told", [([0, 1.5, 3], "off the step"), ([0, 1, 1, 2], "repeated stamp"), ([0, 2, 2.25], "off the step")])
+def test_stamps_off_the_step_are_refused_by_name(spark, hours, told):
+    """A half hour would leave the hours around it out; a repeated one would be a row of its own."""
+    rows = [("fine", at(h), 1.0, 1) for h in range(3)] + [("odd one", at(h), 1.0, 1) for h in hours]
+    df = panel(spark, rows, "k string, ts timestamp_ntz, v double, f int")
+    for made in (grid.regular_grid(df, ["k"], "ts"), gaps.fill_grid(df, ["k"], "ts", ["v"], [], ["f"], "v")):
+        with pytest.raises(Exception, match=f"{told}.*k=odd one"):
+            made.collect()
+    assert grid.regular_grid(df.where("k = 'fine'"), ["k"], "ts").count() == 3

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 import math
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -25,6 +26,7 @@ def session(cpus: str = "8") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="check-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
