@@ -12,7 +12,7 @@ from seriesloom.operators import grid, lags, linear, predictions, profile, scori
 from seriesloom.operators import weighted
 from seriesloom.session import scratch_path, stage
 from seriesloom.sources import tables
-from seriesloom.sources.csv import read_csv
+from seriesloom.sources.csv import read_csv, write_csv
 
 KEYS, TS, SEGMENTS = fx.KEYS, fx.TS, fx.SEGMENTS
 MODELS = ["profile", "average", "previous"]
@@ -163,6 +163,19 @@ def predictions_pivot(spark, sf_dir):
     return _rounded(wide, [f"log_{s}_{m}_pred" for m in MODELS for s in SEGMENTS])
 
 
+def prediction_files(spark, sf_dir):
+    """A CSV of both segments for each model, read back one by one and aligned on the key."""
+    table = stage(_model_table(spark, sf_dir), "predictions", ["model"])
+    parts = []
+    for m in MODELS:
+        columns = [f"log_{s}_{m}_pred" for s in SEGMENTS]
+        path = scratch_path(spark, f"{m}_hourly_pred")
+        write_csv(predictions.pivot_predictions(table.where(F.col("model") == m), KEYS, TS, [m], SEGMENTS), path)
+        parts.append(read_csv(spark, path, f"user_id bigint, ts timestamp_ntz, {', '.join(f'{c} double' for c in columns)}"))
+    aligned = predictions.outer_align(parts, [*KEYS, TS])
+    return _rounded(aligned, [f"log_{s}_{m}_pred" for m in MODELS for s in SEGMENTS])
+
+
 def prediction_full_outer(spark, sf_dir):
     """Observed targets and the predictions of each model, aligned on the key."""
     table = stage(_model_table(spark, sf_dir), "predictions", ["model"])
@@ -306,7 +319,7 @@ QUERIES = {
         daily_rollup, midnight_pick, elapsed_days, daily_lag, moving_average_trend, trend_rmse,
         daily_to_hourly_asof, normalised_demand, hourly_profile, hourly_profile_geo, hourly_trend,
         residual_target, recombine_segments, rmsle, prediction_table, predictions_pivot,
-        prediction_full_outer, forecast_submission, stack_ridge, ridge_coefficients, ridge_gram,
+        prediction_files, prediction_full_outer, forecast_submission, stack_ridge, ridge_coefficients, ridge_gram,
         weighted_median, weighted_median_rowwise, lag_correlation, ranked_pairs,
         predefined_fold_cv, cv_score_table, cv_summary,
     )
@@ -516,6 +529,13 @@ FROM fitted WHERE data_set = 0 AND count IS NOT NULL GROUP BY 1""",
         f"SELECT user_id, ts, {_round([f'log_{s}_{m}_pred' for m in MODELS for s in SEGMENTS])} FROM wide",
         _PIVOT,
     ),
+    "prediction_files": sql.panel(
+        sql.PROFILE,
+        f"""SELECT user_id, ts,
+  {", ".join(f"round(max(log_pred) FILTER (model = '{m}' AND segment = '{s}'), 6) AS log_{s}_{m}_pred" for m in MODELS for s in SEGMENTS)}
+FROM model_table GROUP BY user_id, ts""",
+        _MODEL_TABLE,
+    ),
     "prediction_full_outer": sql.panel(
         sql.PROFILE,
         f"""SELECT user_id, ts, max(registered) AS registered, max(casual) AS casual,

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -419,14 +420,16 @@ def _receiver(sent, n_bins: int, width: int, caps: Caps):
                 x, stats = (np.concatenate(v) for v in zip(*state["blocks"]))
                 root.sums = stats.sum(axis=0)
                 nodes = grow_branch(x, stats, root, n_bins, caps, seeds[m])
+                if node == 0:  # the whole tree
+                    return [(m, node, None, pickle.dumps(vars(_tree(nodes, _chosen(nodes, caps)[0]))))]
             else:
                 nodes = [root]
                 root.sums = state["sums"]
                 _split_nodes(nodes, 0, state["best"] if _may_split(root, caps) else None)
-            return [(m, node, found(nodes))]
+            return [(m, node, found(nodes), None)]
 
         def rows_of(out: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.string()))], names=["member", "node", "found"])
+            return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.binary()))], names=["member", "node", "found", "tree"])
 
         for batch in batches:
             out = []
@@ -470,10 +473,11 @@ def _grow(table, members, caps, width, n_bins, n_rows, offset, rate) -> list[Tre
     spark = table.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     grown = [[_Node(np.array([float(n_rows), 1.0, *(0.0 for _ in m.targets)]), 0, 0)] for m in members]
+    whole: dict[int, Tree] = {}
     while True:
         opened, roots, shapes, asked = {}, {}, {}, []
         for m, nodes in enumerate(grown):
-            split, open_ = _chosen(nodes, caps)
+            split, open_ = _chosen(nodes, caps) if m not in whole else ([], [])
             if not open_:
                 continue
             asked.append((m, members[m]))
@@ -488,16 +492,19 @@ def _grow(table, members, caps, width, n_bins, n_rows, offset, rate) -> list[Tre
         sent = spark.sparkContext.broadcast((asked, opened, roots, shapes, offset, rate))
         moved = table.mapInArrow(_sender(sent, n_bins), PARTS).repartition(parts, "member", "node").sortWithinPartitions("member", "node", "feature", "part")
         seen = set()
-        for r in moved.mapInArrow(_receiver(sent, n_bins, width, caps), "member int, node int, found string").collect():
+        for r in moved.mapInArrow(_receiver(sent, n_bins, width, caps), "member int, node int, found string, tree binary").collect():
             seen.add((r.member, r.node))
-            _take(grown[r.member], r.node, json.loads(r.found))
+            if r.tree is not None:
+                whole[r.member] = Tree(**pickle.loads(r.tree))
+            else:
+                _take(grown[r.member], r.node, json.loads(r.found))
         for m, own in roots.items():  # no row came for these
             for at in own:
                 if (m, at) not in seen:
                     grown[m][at].known = True
                     grown[m][at].sums = grown[m][at].sums * 0
         sent.destroy()
-    return [_tree(nodes, _chosen(nodes, caps)[0]) for nodes in grown]
+    return [whole[m] if m in whole else _tree(nodes, _chosen(nodes, caps)[0]) for m, nodes in enumerate(grown)]
 
 
 def _take(nodes: list[_Node], at: int, found: list) -> None:
