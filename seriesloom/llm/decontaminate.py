@@ -166,6 +166,14 @@ def search_texts(index: Index, texts: list[str], threshold: float = THRESHOLD, o
     return out
 
 
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, word) of every word, by the rule that passages are cut by."""
+    for batch in batches:
+        for row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            held = words_of(text)
+            yield pa.RecordBatch.from_arrays([pa.array([row] * len(held), pa.int64()), pa.array(held, pa.string())], names=["__row", "w"])
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """id, item_id, score, question_overlap and answer_overlap of every document that holds a test item."""
     spark = docs.sparkSession
@@ -177,27 +185,25 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     count = laid.count()
     if not count:
         return found
-    term = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(?U)(\w+)"), F.lit(1))).alias("w")
-    words = laid.select("__row", term)
+    words = laid.select("__row", "text").mapInArrow(_words, "__row long, w string")
     mean_size = (words.count() or 1) / count
     for lo in range(0, count, SLICE):
         part = laid.where(F.col("__row").between(lo, lo + SLICE - 1)).select("item", "text").orderBy("item", "text").collect()
         vocabulary = sorted({w for _, t in part for w in words_of(t)})
-        df = Counter({w: 1 for w in vocabulary})
-        if count <= SLICE:
-            df = Counter(w for _, t in part for w in set(words_of(t)))
-        else:
-            asked = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "w string"))
-            df.update({w: n - 1 for w, n in words.join(asked, "w").groupBy("w").agg(F.countDistinct("__row")).collect()})
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in part], df, count, mean_size))  # bounded by SLICE items
-
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+        asked = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "w string"))
+        df = dict(words.join(asked, "w").groupBy("w").agg(F.countDistinct("__row")).collect())
+        # Plain arrays and lists, so that workers need no module to read them; bounded by SLICE items.
+        sent = spark.sparkContext.broadcast(vars(Index([tuple(r) for r in part], df, count, mean_size)))
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            index = Index.__new__(Index)
+            vars(index).update(sent.value)
             for batch in batches:
                 for at in range(0, batch.num_rows, 500):
                     some = batch.slice(at, 500)
-                    hits = search_texts(index.value, some.column(1).to_pylist())
+                    hits = search_texts(index, some.column(1).to_pylist())
                     ids = some.column(0).to_pylist()
-                    cols = [[ids[h[0]] for h in hits], [index.value.ids[h[1]] for h in hits], *([h[i] for h in hits] for i in (2, 3, 4))]
+                    cols = [[ids[h[0]] for h in hits], [index.ids[h[1]] for h in hits], *([h[i] for h in hits] for i in (2, 3, 4))]
                     kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[id_col, "item_id", "score", "question_overlap", "answer_overlap"])
 
