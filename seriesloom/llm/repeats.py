@@ -10,19 +10,21 @@ sort, neither of which loses a repeat:
 * texts that are equal as a whole are kept once, with the number of copies.
 
 The suffixes that are left travel by anchor: the anchor's hash is their leading
-token, and splitters sampled from all of them deal them to buckets by ranges of
-(leading token, text), so that one very common token is spread over many
-buckets. A bucket expands its suffixes to starts, sorts them by multikey
+token, and splitters sampled from all of them deal them to tasks by ranges of
+(leading token, text, start), so that one very common token is spread over many.
+Neighbouring anchors with the same bytes, as in texts of a short period, travel
+as one, ``PER_ROW`` starts at most a row. A task takes about ``PER_BUCKET`` starts of its
+range at a time, which bounds its memory; such a bucket expands its suffixes to starts, sorts them by multikey
 quicksort over two tokens (hashes of the halves of the string) and compares
 neighbours. Suffixes of a bucket's first and last leading token may go on in the
-next bucket: of those, each different string is passed on once, and equal ones
+bucket before or after it: of those, each different string is passed on once, and equal ones
 meet in a second comparison across boundaries.
 
 Strings are compared by 128 bits of their tokens. Defined cases: null texts are
 empty; texts shorter than ``length`` keep all bytes and repeat nothing; equal
 rows are copies of each other, so long enough ones lose all bytes; null ids are
-kept; matches never cross texts; a very long text is one row in a task; an empty
-table gives no rows. Only the named columns are read.
+kept; matches never cross texts; a text is one row in a task, and worked on ``CHUNK``
+bytes at a time, also if all its bytes are equal; an empty table gives no rows. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -39,8 +41,8 @@ from seriesloom.llm.common import text_of
 from seriesloom.session import stage
 
 LENGTH, GRAM = 400, 48
-#: Suffix groups (an anchor's starts) a bucket holds, about; bytes hashed at once.
-PER_BUCKET, CHUNK = 12_000, 1 << 20
+#: Starts a bucket and a task hold, about; starts a row holds at most; bytes hashed and sent at once.
+PER_BUCKET, PER_TASK, PER_ROW, CHUNK = 200_000, 2_000_000, 50_000, 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BYTES = np.random.default_rng(11).integers(1, 2**63, 256, dtype=np.uint64)
@@ -86,6 +88,24 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
     return h[at], at, first, np.diff(np.append(first, n))
 
 
+def groups(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
+    """Runs of neighbouring anchors with one hash: hash, first place, first start, starts, anchors.
+
+    Every start of a text of equal bytes, or of a short period, has an anchor of its
+    own; they have the same bytes and are one run. A piece of the text is taken at a time.
+    """
+    parts = []
+    for lo in range(0, max(len(data) - length + 1, 0), CHUNK):
+        token, at, first, count = anchors(data[lo : lo + CHUNK + length - 1], length)
+        parts.append((token, at + lo, first + lo, count))
+    if not parts:
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4))
+    token, at, first, count = (np.concatenate(c) for c in zip(*parts))
+    head = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
+    fresh = np.append(True, at[1:] != at[:-1]).astype(np.int64)  # an anchor may go on in the next piece
+    return token[head], at[head], first[head], np.add.reduceat(count, head), np.add.reduceat(fresh, head)
+
+
 def multikey_order(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Order by several tokens, and for each place in it whether it equals the one before in all.
 
@@ -104,7 +124,7 @@ def multikey_order(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, tied
 
 
-_TEXT = "id long, t1 long, t2 long, n_bytes long, sha string, tokens array<long>, places array<long>"
+_TEXT = "id long, t1 long, t2 long, n_bytes long, sha string, tokens array<long>, places array<long>, starts array<long>, anchors array<long>"
 
 
 def _described(df: DataFrame, length: int) -> DataFrame:
@@ -112,16 +132,17 @@ def _described(df: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
+            out: list[list] = [[] for _ in range(8)]
             for text in batch.column(1):
                 data = (text.as_py() or "").encode("utf-8", "surrogatepass")
                 sha = hashlib.sha256(data).digest()
-                token, place, _, _ = anchors(np.frombuffer(data, np.uint8), length)
+                token, place, _, count, many = groups(np.frombuffer(data, np.uint8), length)
                 t1, t2 = np.frombuffer(sha[:16], np.int64).tolist()
-                for col, v in zip(out, (t1, t2, len(data), sha.hex(), token.view(np.int64), place)):
+                for col, v in zip(out, (t1, t2, len(data), sha.hex(), token.view(np.int64), place, count, many)):
                     col.append(v)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds))], names=["id", "t1", "t2", "n_bytes", "sha", "tokens", "places"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.list_(pa.int64())] * 4)
+            names = ["id", "t1", "t2", "n_bytes", "sha", "tokens", "places", "starts", "anchors"]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(out, kinds))], names=names)
 
     return df.mapInArrow(run, _TEXT)
 
@@ -151,22 +172,28 @@ _SUFFIX = "token long, t1 long, t2 long, start long, count long, bytes binary"
 
 
 def _suffixes(texts: DataFrame, length: int) -> DataFrame:
-    """Anchors that may repeat, with the starts that belong to them and their bytes."""
+    """Anchors that may repeat, with the starts that belong to them (``PER_ROW`` at most) and their bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["token", "t1", "t2", "start", "count", "bytes"]
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        size, out = 0, [[] for _ in names]
         for batch in batches:
-            for lo in range(0, batch.num_rows, 200):
-                part, out = batch.slice(lo, 200), [[] for _ in names]
-                rest = zip(part.column("t1").to_pylist(), part.column("t2").to_pylist(), part.column("places").to_pylist())
-                for data, (t1, t2, places) in zip(_unpacked(part.column("packed")), rest):
-                    token, place, first, count = anchors(np.frombuffer(data, np.uint8), length)
-                    for i in np.flatnonzero(np.isin(place, places)).tolist():
-                        s, n = int(first[i]), int(count[i])
+            rest = zip(batch.column("t1").to_pylist(), batch.column("t2").to_pylist(), batch.column("places"))
+            for data, (t1, t2, places) in zip(_unpacked(batch.column("packed")), rest):
+                token, place, first, count, _ = groups(np.frombuffer(data, np.uint8), length)
+                for i in np.flatnonzero(np.isin(place, places.values.to_numpy())).tolist():
+                    end = int(first[i] + count[i])
+                    for s in range(int(first[i]), end, PER_ROW):
+                        n = min(PER_ROW, end - s)
                         for col, v in zip(out, (int(token[i].view(np.int64)), t1, t2, s, n, data[s : s + n + length - 1])):
                             col.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+                        size += n + length
+                        if size > 8 * CHUNK:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+                            size, out = 0, [[] for _ in names]
+        if size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     return texts.mapInArrow(run, _SUFFIX)
 
@@ -174,36 +201,32 @@ def _suffixes(texts: DataFrame, length: int) -> DataFrame:
 _FOUND = "kind int, a long, b long, t1 long, t2 long, start long, count long"
 
 
-def _sorted_bucket(rows: list[dict], length: int) -> pa.RecordBatch:
-    """Kind 0: repeated runs of starts. Kind 1: strings of the bucket's outer tokens, once each (count > 1: repeated here)."""
-    rows = list({(r["t1"], r["t2"], r["start"]): r for r in rows}.values())  # rows may share an id
-    half, tokens = length // 2, ([], [])
-    lo = 0
-    while lo < len(rows):
+def _sorted_bucket(t1: np.ndarray, t2: np.ndarray, first: np.ndarray, n: np.ndarray, token: np.ndarray, texts: list[pa.Scalar], length: int, before: bool, after: bool) -> pa.RecordBatch:
+    """Kind 0: repeated runs of starts. Kind 1: strings of the bucket's first and last token, if these may occur in
+    the bucket before or after it, once each (count > 1: repeated here)."""
+    half, tokens, lo = length // 2, ([], []), 0
+    while lo < len(n):
         hi, size = lo, 0
-        while hi < len(rows) and (hi == lo or size + len(rows[hi]["bytes"]) <= CHUNK):
-            size += len(rows[hi]["bytes"])
+        while hi < len(n) and (hi == lo or size + n[hi] + length - 1 <= CHUNK):
+            size += int(n[hi]) + length - 1
             hi += 1
-        sizes = np.array([len(r["bytes"]) for r in rows[lo:hi]])
-        hashes = Hashes(np.frombuffer(b"".join(r["bytes"] for r in rows[lo:hi]), np.uint8))
-        begin = np.cumsum(sizes) - sizes
-        n = sizes - length + 1
-        start = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - begin, n)
+        hashes = Hashes(np.frombuffer(b"".join(t.as_buffer() for t in texts[lo:hi]), np.uint8))
+        sizes = n[lo:hi] + length - 1
+        own, begin = n[lo:hi], np.cumsum(sizes) - sizes
+        start = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own - begin, own)
         tokens[0].append(hashes.of(start, half))
         tokens[1].append(hashes.of(start + half, length - half))
         lo = hi
     a, b = (np.concatenate(t) for t in tokens)
-    n = np.array([r["count"] for r in rows])
-    owner = np.repeat(np.arange(len(rows)), n)
+    owner = np.repeat(np.arange(len(n)), n)
     order, tied = multikey_order([a, b])
     repeated = np.zeros(len(a), bool)
     repeated[order[tied | np.append(tied[1:], False)]] = True
-    t1, t2, first, token = (np.array([r[c] for r in rows], np.int64) for c in ("t1", "t2", "start", "token"))
     start = np.arange(len(a)) - np.repeat(np.cumsum(n) - n - first, n)
     edge = np.flatnonzero(np.append(True, (repeated[1:] != repeated[:-1]) | (owner[1:] != owner[:-1])))
     run = edge[repeated[edge]]
     run_size = np.diff(np.append(edge, len(a)))[repeated[edge]]
-    outer = (token == token.min()) | (token == token.max())
+    outer = (before & (token == token[0])) | (after & (token == token[-1]))
     heads = order[~tied]
     heads = heads[outer[owner[heads]]]
     zero = np.zeros(len(run), np.int64)
@@ -215,16 +238,31 @@ def _sorted_bucket(rows: list[dict], length: int) -> pa.RecordBatch:
 
 
 def _sort_buckets(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    held: list[dict] = []
+    """Rows come in the order of token, text and start; a bucket ends where it holds enough starts."""
+    held, size, last, ended = [], 0, None, None
+
+    def bucket(following: int | None) -> pa.RecordBatch:
+        """The held rows; what lies beyond a task's rows is unknown, so its first and last token may go on there."""
+        columns = [np.concatenate([part[i] for part in held]) for i in range(5)]
+        before, after = (t is None or t == own for t, own in ((ended, columns[4][0]), (following, columns[4][-1])))
+        return _sorted_bucket(*columns, [t for part in held for t in part[5]], length, before, after)
+
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1000):
-            for row in batch.slice(lo, 1000).to_pylist():
-                if held and held[0]["bucket"] != row["bucket"]:
-                    yield _sorted_bucket(held, length)
-                    held = []
-                held.append(row)
+        t1, t2, start, count, token = (batch.column(c).to_numpy() for c in ("t1", "t2", "start", "count", "token"))
+        key = np.column_stack((token, t1, t2, start))
+        # Rows may share an id, so a text may have come twice.
+        own = np.append(last is None or (key[:1] != last).any(), (key[1:] != key[:-1]).any(axis=1)) if len(key) else np.zeros(0, bool)
+        last, rows, at = key[-1:] if len(key) else last, np.flatnonzero(own), 0
+        while at < len(rows):
+            room = np.cumsum(count[rows[at:]])
+            take = rows[at : at + max(1, int(np.searchsorted(room, PER_BUCKET - size, "right")))]
+            held.append((t1[take], t2[take], start[take], count[take], token[take], [batch.column("bytes")[int(i)] for i in take]))
+            size, at = size + int(count[take].sum()), at + len(take)
+            if size >= PER_BUCKET or at < len(rows):
+                yield bucket(token[rows[at]] if at < len(rows) else None)
+                held, size, ended = [], 0, token[take[-1]]
     if held:
-        yield _sorted_bucket(held, length)
+        yield bucket(None)
 
 
 def _spans(runs: list[dict], length: int) -> list[tuple[int, int]]:
@@ -264,34 +302,21 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = stage(_described(texts, length), "described")
     copies = rows.groupBy(*key).agg(F.count("*").alias("copies"), F.min(F.coalesce("id", least)).alias("rep"))
     once = stage(
-        rows.where(F.size("tokens") > 0).groupBy(*key).agg(F.first(F.arrays_zip("tokens", "places")).alias("anchors"))
-        .select(*key, F.explode("anchors").alias("x")).select(*key, "x.tokens", "x.places").toDF(*key, "token", "place"), "anchors",
+        rows.where(F.size("tokens") > 0).groupBy(*key).agg(F.first(F.arrays_zip("tokens", "places", "starts", "anchors")).alias("runs"))
+        .select(*key, F.explode("runs").alias("x")).select(*key, "x.*").toDF(*key, "token", "place", "starts", "n"), "anchors",
     )
-    repeated = once.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
+    repeated = once.groupBy("token").agg(F.sum("n").alias("n")).where("n > 1").select("token")
     kept = stage(once.join(repeated.hint("merge"), "token"), "repeated")
-    total = kept.count()
-    buckets = total // PER_BUCKET + 1
-    sample = kept.select("token", "t1").sample(min(1.0, 50.0 * buckets / max(total, 1)), seed=3).orderBy("token", "t1").collect()
-    splitters = [tuple(sample[len(sample) * i // buckets]) for i in range(1, buckets)] if sample else []
+    total = kept.agg(F.coalesce(F.sum("starts"), F.lit(0))).first()[0]
     per_text = kept.groupBy(*key).agg(F.collect_list("place").alias("places")).join(copies, key)
     packed = _packed(texts).withColumn("id", F.coalesce("id", least))
     # The same plan at every size: a small list of texts must not turn into a broadcast.
     joined = packed.join(per_text.hint("merge"), packed["id"] == per_text["rep"]).select(*key, "copies", "places", "packed")
     candidates = stage(_matching(joined), "candidates")
-    cuts = np.array(splitters, np.int64).reshape(-1, 2)
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            token, t1 = (batch.column(c).to_numpy() for c in ("token", "t1"))
-            # Rank of (token, t1) among the splitters: those of smaller token, and of the same with t1 not above.
-            lo, hi = np.searchsorted(cuts[:, 0], token, "left"), np.searchsorted(cuts[:, 0], token, "right")
-            rank = lo.copy()
-            for i in np.flatnonzero(hi > lo):
-                rank[i] += np.searchsorted(cuts[lo[i] : hi[i], 1], t1[i], "right")
-            yield batch.append_column("bucket", pa.array(rank.astype(np.int64)))
-
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), buckets)
-    dealt = _suffixes(candidates, length).mapInArrow(place, f"{_SUFFIX}, bucket long").repartition(parts, "bucket").sortWithinPartitions("bucket")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // PER_TASK + 1)
+    order = ["token", *key, "start"]
+    # Ranges by splitters that Spark samples from the written suffixes.
+    dealt = stage(_suffixes(candidates, length), "suffixes").repartitionByRange(parts, *order).sortWithinPartitions(*order)
     found = stage(dealt.mapInArrow(lambda it: _sort_buckets(it, length), _FOUND), "found")
     inner = found.where("kind = 0").select(*key, "start", "count")
     across = (
