@@ -1,0 +1,7 @@
+"""Models. Functions and classes of this package that run in tasks are pickled by value, so executors need no copy of it."""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

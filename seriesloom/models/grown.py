@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -334,7 +334,7 @@ def _sender(sent, n_bins: int):
     """Histograms of large open nodes (a row a feature) and rows of small ones, per task."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, opened, _, trees, offset, rate = sent.value
+        members, opened, _, trees, offset, rate = pickle.loads(sent.value)
         part, sums, size = TaskContext.get().partitionId() << 20, {}, 0
 
         def rows_of(out: list[tuple]) -> pa.RecordBatch:
@@ -392,7 +392,7 @@ def _receiver(sent, n_bins: int, width: int, caps: Caps):
     """Best splits of large nodes and whole branches of small ones, from rows ordered by (member, node, feature, part)."""
 
     def receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, _, places, *_ = sent.value
+        members, _, places, *_ = pickle.loads(sent.value)
         seeds = {m: member.seed for m, member in members}
         state: dict = {"key": None}
 
@@ -489,7 +489,7 @@ def _grow(table, members, caps, width, n_bins, n_rows, offset, rate) -> list[Tre
             roots[m] = {at: (nodes[at].depth, nodes[at].place) for at in open_}
         if not asked:
             break
-        sent = spark.sparkContext.broadcast((asked, opened, roots, shapes, offset, rate))
+        sent = spark.sparkContext.broadcast(cloudpickle.dumps((asked, opened, roots, shapes, offset, rate)))
         moved = table.mapInArrow(_sender(sent, n_bins), PARTS).repartition(parts, "member", "node").sortWithinPartitions("member", "node", "feature", "part")
         seen = set()
         for r in moved.mapInArrow(_receiver(sent, n_bins, width, caps), "member int, node int, found string, tree binary").collect():
