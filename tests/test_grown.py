@@ -222,3 +222,48 @@ def test_no_rows(spark):
     assert capped.forest(df, ["id"], ["y"], 2, Caps())[0].trees[0].n_leaves == 1
     with pytest.raises(ValueError):
         capped.adaboost(df, ["id"], ["y"], 2, 1.0, Caps())
+
+
+@pytest.mark.parametrize("in_memory", [40, 20_000])
+def test_trees_without_a_leaf_cap_are_stored_and_predict_the_same(spark, monkeypatch, in_memory):
+    x, y = data(8)
+    df = frame(spark, x, y)
+    caps = Caps(depth=9, share=0.67)
+    (whole,) = capped.forest(df, ["id"], ["y", "z"], 5, caps, joint=True)
+    assert isinstance(whole, capped.Ensemble)
+    monkeypatch.setattr(capped, "KEPT", 0)
+    monkeypatch.setattr(grown, "IN_MEMORY", in_memory)
+    (stored,) = capped.forest(df, ["id"], ["y", "z"], 5, caps, joint=True)
+    assert isinstance(stored, capped.Stored)
+    read = lambda m: np.array([(r.p, r.q) for r in m.transform(df, ["p", "q"]).orderBy("id").collect()])
+    assert np.allclose(read(stored), read(whole))
+    assert np.allclose(stored.featureImportances.toArray(), whole.featureImportances.toArray())
+
+
+def test_growth_by_level_is_that_by_node():
+    rng = np.random.default_rng(9)
+    for caps in (Caps(), Caps(depth=6, share=0.4), Caps(split=6, leaf=3)):
+        x = rng.integers(0, 40, (900, 5)).astype(np.uint8)
+        stats = np.column_stack([np.ones(900), rng.integers(1, 4, 900), rng.normal(size=(900, 2))])
+        nodes = grown.grow_branch(x, stats, grown._Node(stats.sum(axis=0), 0, 0), 40, caps, 5)
+        slow = grown._tree(nodes, grown._chosen(nodes, caps)[0])
+        fast = grown._cut(grown.grow_whole(x, stats, 0, 0, 40, caps, 5), caps)
+        assert fast.n_leaves == slow.n_leaves
+        other = rng.integers(0, 40, (500, 5)).astype(np.uint8)
+        assert (fast.predict(other) == slow.predict(other)).all()
+
+
+def test_the_driver_gets_trees_of_the_cap_only(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    monkeypatch.setattr(grown, "IN_MEMORY", 100)
+    got, plain = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: [got.append(r) or r for r in plain(self)])
+    x, y = data(10, 2000)
+    y = y + np.random.default_rng(1).normal(size=y.shape)
+    made = table(spark, x, y)
+    got.clear()
+    (tree,) = made.grow([Member((0,), 0, 1)], Caps(leaves=50))
+    assert tree.n_leaves == 50
+    assert sum(len(r.found) for r in got if "found" in r) < 40_000  # large nodes alone; branches stay in their tasks
+    assert [len(r.tree) < 5_000 for r in got if "tree" in r] == [True]
