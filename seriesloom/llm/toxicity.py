@@ -4,7 +4,7 @@ A word's input is its own hashed vector plus the mean of the hashed vectors of
 its character n-grams. Two gated recurrent passes run over a window of words,
 attention pools their states, and a linear layer gives the window's logit. All
 overlapping windows of a text are scored; the text's score is its strongest
-window, put on a probability scale. The network is trained in numpy on a bounded
+window, put on a probability scale. The network is trained in numpy, in one task, on a bounded
 sample of labelled rows (``SAMPLE`` rows, smallest id hashes first), whole texts
 of them, the text's label teaching its strongest window. The probability scale is
 fitted on the same strongest windows that scoring takes.
@@ -18,6 +18,7 @@ columns are read; label, language, source and id are never inputs of a score.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -306,13 +307,22 @@ def score_texts(net: dict | None, texts: list[str]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = SAMPLE) -> dict | None:
-    """Trains on at most ``sample`` labelled rows; ids join texts with labels."""
+    """Trains on at most ``sample`` labelled rows, in one task; ids join texts with labels. The driver gets the network only."""
     known = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__id"), F.col(label_col).alias("__y"))
     chosen = known.orderBy(F.xxhash64("__id"), "__y").limit(sample)  # bounded by the parameter
     texts = docs.select(F.col(id_col).alias("__doc"), text_of(text_col).alias("__text"))
     rows = texts.join(F.broadcast(chosen), F.col("__doc") == F.col("__id")).select("__id", "__text", "__y")
-    got = rows.orderBy(F.xxhash64("__id"), "__text").limit(sample).collect()
-    return train([r[1] for r in got], np.array([r[2] for r in got]))
+    learned = rows.orderBy(F.xxhash64("__id"), "__text").limit(sample)  # one partition, in this order
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, marks = [], []
+        for batch in batches:
+            texts += batch.column(0).to_pylist()
+            marks += batch.column(1).to_pylist()
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(texts, np.array(marks)))], pa.binary())], names=["net"])
+
+    got = learned.select("__text", "__y").mapInArrow(run, "net binary").collect()
+    return pickle.loads(got[0].net) if got else None
 
 
 def score(docs: DataFrame, net: dict | None, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), score_col: str = "score") -> DataFrame:

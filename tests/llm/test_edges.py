@@ -1,5 +1,7 @@
 """Every operator on nulls, empty and long texts, repeated rows, ties, empty tables and clashing column names."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -182,6 +184,15 @@ def test_toxicity(spark, docs, none):
     assert toxicity.score(none, net).collect() == []
 
 
+def test_toxicity_is_learned_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "train", lambda texts, labels: {"process": os.getpid(), "texts": texts, "labels": labels.tolist()})
+    df = spark.range(50).selectExpr("id AS doc_id", "concat('text ', id) AS text", "CAST(id % 3 = 0 AS int) AS toxic").repartition(5)
+    net = toxicity.fit(df, df, sample=40)
+    ids = [r[0] for r in df.orderBy(F.xxhash64("doc_id")).select("doc_id").limit(40).collect()]
+    assert net["process"] != os.getpid()
+    assert net["texts"] == [f"text {i}" for i in ids] and net["labels"] == [int(i % 3 == 0) for i in ids]
+
+
 def test_toxicity_learns_from_every_window(monkeypatch):
     monkeypatch.setattr(toxicity, "LEAST_STEPS", 40)
     rng = np.random.default_rng(4)
