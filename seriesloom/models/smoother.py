@@ -7,13 +7,17 @@ rounding, whose basis does not depend on the length scale. Products of two
 polynomials are again such polynomials, so their sums over parts of a group,
 taken once, give the normal equations of every length scale, and no matrix
 grows with a group's rows. Polynomials needed: about six times the span in
-standard deviations times the root of the largest theta, and 20 more.
+standard deviations times the root of the largest theta, and 20 more. A group of
+few fitted rows is solved from its rows instead, all groups of equal size at once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +25,8 @@ from pyspark.sql import functions as F
 THETAS = [float(t) for t in np.logspace(-3, 2, 11)]
 # Correlations below exp(-REACH) are rounding; the search ends at this ratio of two thetas.
 REACH, CLOSE = 36.0, 1.0005
+# Fitted rows up to which a group is solved from its rows, and numbers of all correlations held at once.
+FEW, HELD = 48, 4_000_000
 
 
 def degree(theta: float, half: float) -> int:
@@ -89,6 +95,76 @@ class Sums:
         return max((at_a, float(np.exp(a))), (at_b, float(np.exp(b))))
 
 
+class Few:
+    """Groups of as many fitted rows each, from the rows: places z and values v are groups x rows."""
+
+    def __init__(self, z: np.ndarray, v: np.ndarray, noise: np.ndarray, half: np.ndarray):
+        self.v, self.noise = v, noise
+        self.apart = (half[:, None, None] * (z[:, :, None] - z[:, None, :])) ** 2
+
+    def fit(self, theta: np.ndarray, which: np.ndarray | slice = slice(None)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Likelihood, mean and weights of the rows, of some groups by their thetas."""
+        v, n = self.v[which], self.v.shape[1]
+        corr = np.exp(-theta[:, None, None] * self.apart[which])
+        corr[:, np.arange(n), np.arange(n)] += self.noise[which][:, None]
+        root = np.linalg.cholesky(corr)
+        ones, target = np.moveaxis(np.linalg.solve(root, np.stack([np.ones_like(v), v], axis=2)), 2, 0)
+        mean = (ones * target).sum(axis=1) / (ones * ones).sum(axis=1)
+        rest = target - mean[:, None] * ones
+        variance = np.maximum((rest * rest).sum(axis=1) / n, np.finfo(float).tiny)
+        log_det = 2 * np.log(np.diagonal(root, axis1=1, axis2=2)).sum(axis=1)
+        weights = np.linalg.solve(root.transpose(0, 2, 1), rest[:, :, None])[:, :, 0]
+        return -np.log(variance) - log_det / n, mean, weights
+
+    def best(self, thetas: list[float], search: bool) -> np.ndarray:
+        """As ``Sums.best``, for every group."""
+        like = np.stack([self.fit(np.full(len(self.v), t))[0] for t in thetas])
+        if not search:
+            return np.array(thetas)[like.argmax(axis=0)]
+        around = np.pad(like, ((1, 1), (0, 0)), constant_values=-np.inf)
+        at, which = np.nonzero(like >= np.maximum(around[:-2], around[2:]))
+        line = np.log(thetas)
+        tops, found = self._peaks(line[np.maximum(at - 1, 0)], line[np.minimum(at + 1, len(line) - 1)], which)
+        group = np.concatenate([which, np.tile(np.arange(len(self.v)), len(thetas))])
+        every = np.concatenate([found, np.repeat(thetas, len(self.v))])
+        order = np.lexsort((every, np.concatenate([tops, like.ravel()]), group))
+        return every[order[np.append(np.diff(group[order]) > 0, True)]]
+
+    def _peaks(self, low: np.ndarray, high: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Golden sections in the logarithm of theta, side by side."""
+        part = (np.sqrt(5) - 1) / 2
+        a, b = high - part * (high - low), low + part * (high - low)
+        at_a, at_b = self.fit(np.exp(a), which)[0], self.fit(np.exp(b), which)[0]
+        while len(on := np.flatnonzero(high - low > np.log(CLOSE))):
+            left = at_a[on] >= at_b[on]
+            down, up = on[left], on[~left]
+            high[down], b[down], at_b[down] = b[down], a[down], at_a[down]
+            low[up], a[up], at_a[up] = a[up], b[up], at_b[up]
+            a[down] = high[down] - part * (high[down] - low[down])
+            b[up] = low[up] + part * (high[up] - low[up])
+            fresh = self.fit(np.exp(np.where(left, a[on], b[on])), which[on])[0]
+            at_a[down], at_b[up] = fresh[left], fresh[~left]
+        top = np.where(at_a > at_b, a, b)
+        top = np.where(at_a == at_b, np.maximum(a, b), top)
+        return np.maximum(at_a, at_b), np.exp(top)
+
+
+def solve_few(z: list[np.ndarray], v: list[np.ndarray], noise: np.ndarray, half: np.ndarray, thetas: list[float], search: bool) -> list[tuple]:
+    """(theta, mean, weights) of each group, from the places and values of its rows."""
+    size, out = np.array([len(own) for own in v]), [()] * len(v)
+    for n in np.unique(size):
+        equal = np.flatnonzero(size == n)
+        step = max(1, HELD // int(n * n * len(thetas)))
+        for first in range(0, len(equal), step):
+            some = equal[first : first + step]
+            groups = Few(np.stack([z[i] for i in some]), np.stack([v[i] for i in some]), noise[some], half[some])
+            theta = groups.best(thetas, search)
+            _, mean, weights = groups.fit(theta)
+            for i, *fit in zip(some, theta, mean, weights):
+                out[i] = tuple(fit)
+    return out
+
+
 def _per_group(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with the columns of its group's one row; null keys are groups, too."""
     named = groups.withColumnsRenamed({k: f"__{k}" for k in keys})
@@ -104,13 +180,15 @@ def smooth(
     nugget: str,
     thetas: list[float] | None = None,
     chunk: int = 16_384,
+    few: int = FEW,
 ) -> DataFrame:
     """``keys, x, y_hat, theta`` for every row; rows whose ``y`` is NULL are
     predicted, the others are fitted too.
 
     ``nugget`` is positive and the same in all rows of a group. ``thetas`` are the
     only length scales then; without them the likeliest in [0.001, 100] is searched for.
-    Groups are summed in parts of about ``chunk`` rows, so one may hold any number of them.
+    Groups are summed in parts of about ``chunk`` rows, so one may hold any number of them;
+    those of at most ``few`` fitted rows are solved from the rows, many in one call.
     """
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     key_schema = ", ".join(f"`{k}` {types[k]}" for k in keys)
@@ -134,7 +212,7 @@ def smooth(
             "half": (F.col("high") - F.col("low")) / F.col("dx") / 2,
             "part": F.expr(f"pmod(xxhash64(x, y), greatest(1, ceil(n / {chunk})))"),
         }
-    ).withColumn("angle", F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce("z", F.lit(0.0))))))
+    ).withColumn("z", F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.coalesce("z", F.lit(0.0))))).withColumn("angle", F.acos("z"))
     most = max(grid)
 
     def sums(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -154,15 +232,33 @@ def smooth(
         group = Sums(waves, v_waves, pdf["n"].sum(), pdf["v1"].sum(), pdf["vv"].sum(), pdf["nugget"].iloc[0], pdf["half"].iloc[0])
         theta = group.best(grid, thetas is None)
         _, mean, coefs = group.fit(theta)
-        return pdf[keys].iloc[:1].assign(theta=theta, mean=mean, coefs=[coefs])
+        return pdf[keys].iloc[:1].assign(theta=theta, mean=mean, coefs=[coefs], places=None)
+
+    def solve_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The same for many groups of few rows: weights of the rows, and their places."""
+        for b in batches:
+            own = dict(zip(b.schema.names, b.columns))
+            z, v = ([np.array(o) for o in own[c].to_pylist()] for c in ("z", "v"))
+            found = solve_few(z, v, own["nugget"].to_numpy(), own["half"].to_numpy(), grid, thetas is None)
+            theta, mean, weights = zip(*found) if found else ((), (), ())
+            fit = [pa.array(theta, pa.float64()), pa.array(mean, pa.float64()), pa.array(list(weights), pa.list_(pa.float64())), own["z"]]
+            yield pa.RecordBatch.from_arrays([*(own[k] for k in keys), *fit], names=[*keys, "theta", "mean", "coefs", "places"])
 
-    parts = placed.where(F.col("v").isNotNull()).groupBy(*keys, "part").applyInPandas(
+    schema = f"{key_schema}, theta double, mean double, coefs array<double>, places array<double>"
+    known = placed.where(F.col("v").isNotNull())
+    rows_of = F.sort_array(F.collect_list(F.struct("z", "v")))
+    small = known.where(F.col("n") <= few).groupBy(*keys).agg(rows_of.alias("rows"), F.first("half").alias("half"), F.first("nugget").alias("nugget"))
+    small = small.select(*keys, "half", "nugget", F.col("rows.z").alias("z"), F.col("rows.v").alias("v"))
+    parts = known.where(F.col("n") > few).groupBy(*keys, "part").applyInPandas(
         sums, f"{key_schema}, half double, nugget double, n long, v1 double, vv double, sums array<double>"
     )
     # A row a part: some hundred sums for every ``chunk`` rows of the group.
-    best = parts.groupBy(*keys).applyInPandas(solve, f"{key_schema}, theta double, mean double, coefs array<double>")
-    fitted = _per_group(placed, best.select(*keys, F.struct("theta", "mean", "coefs").alias("fit")), keys)
-    terms = F.transform(F.col("fit.coefs"), lambda c, j: c * F.cos(j * F.col("angle")))
+    best = parts.groupBy(*keys).applyInPandas(solve, schema).unionByName(small.mapInArrow(solve_all, schema))
+    fitted = _per_group(placed, best.select(*keys, F.struct("theta", "mean", "coefs", "places").alias("fit")), keys)
+    waves = F.transform(F.col("fit.coefs"), lambda c, j: c * F.cos(j * F.col("angle")))
+    scale = F.col("fit.theta") * F.col("half") * F.col("half")
+    near = F.zip_with("fit.coefs", "fit.places", lambda c, z: c * F.exp(-scale * (F.col("z") - z) * (F.col("z") - z)))
+    terms = F.when(F.col("fit.places").isNull(), waves).otherwise(near)
     curve = F.aggregate(terms, F.lit(0.0), lambda s, t: s + t)
     level = F.col("y0") + F.col("dy") * (F.col("fit.mean") + curve)
     return fitted.select(*keys, "x", F.when(F.col("fit").isNotNull(), level).alias("y_hat"), F.col("fit.theta").alias("theta"))

@@ -171,6 +171,34 @@ def test_smoother_takes_groups_of_any_size_and_parts_change_nothing(spark):
     assert np.allclose([r.y_hat for r in whole], np.sin(np.arange(20_000) / 900), atol=0.05)
 
 
+def test_smoother_solves_groups_of_few_rows_from_their_rows(spark):
+    """Equal to the sums of polynomials, with null keys, rows that come twice, one place, one row and constant values."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in [*range(24), None]:
+        for x in rng.choice(40, 1 + (k or 0), replace=False):
+            rows.append((k, float(x), float(rng.normal() + np.sin(x / 5)) if rng.random() < 0.8 else None, 0.5))
+    rows += rows[40:60] + [(50, 3.0, 1.0, 0.5), (50, 3.0, 2.0, 0.5), *((51, float(i), 4.0, 2.0) for i in range(9)), (52, None, 1.0, 0.5), (52, 2.0, 1.0, 0.5)]
+    for thetas, of in (([10.0], rows), ([0.1], rows), (None, [r for r in rows if r[0] is None or 5 <= r[0] < 24])):  # a flat likelihood has no likeliest scale
+        df = spark.createDataFrame(of, "k long, x double, y double, nugget double")
+        got, sums = (
+            sorted(map(tuple, smoother.smooth(df, ["k"], "x", "y", "nugget", thetas, few=n).collect()), key=str) for n in (smoother.FEW, 0)
+        )
+        assert len(got) == len(of)
+        as_numbers = lambda out: np.array([[np.nan if v is None else v for v in r] for r in out], float)
+        assert np.allclose(as_numbers(got)[:, 2], as_numbers(sums)[:, 2], rtol=1e-4, atol=1e-6 if thetas else 2e-3, equal_nan=True)
+
+
+def test_smoother_takes_many_small_groups(spark):
+    """A group's own search took some tenths of a second before: 4,000 took minutes."""
+    import time
+
+    df = spark.range(60_000).selectExpr("id % 4000 AS k", "double(id div 4000) AS x", "sin(id) AS y", "0.5D AS nugget")
+    began = time.time()
+    out = smoother.smooth(df, ["k"], "x", "y", "nugget").agg(F.count("y_hat").alias("n")).first()
+    assert out.n == 60_000 and time.time() - began < 90
+
+
 def test_a_missing_feature_is_an_error(spark):
     df = spark.createDataFrame([(1.0, None)], "a double, b double")
     with pytest.raises(Exception):
