@@ -248,6 +248,28 @@ def test_correlations_equal_the_built_in(spark):
     assert correlations(df.limit(0), ["a"], ["y"]).collect() == []
 
 
+def test_lag_correlations_equal_those_of_lag_columns(spark):
+    """Over series shorter than the lags, null keys, missing values and batches of few rows; no lag column is made."""
+    from seriesloom.operators import lags
+    from seriesloom.operators.scoring import correlations
+
+    rng = np.random.default_rng(5)
+    value = lambda: None if rng.random() < 0.2 else float(rng.integers(0, 30))
+    rows = [(k, at(h), value(), value(), value(), value()) for k, n in (("a", 90), ("b", 2), (None, 40), ("c", 1)) for h in range(n)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, a double, b double, y double, z double")
+    fan = lags.lag_fan_out(lags.lag_fan_out(df, ["k"], "ts", "a", 5), ["k"], "ts", "b", 5)
+    names = [n for c in "ab" for n in [c, *[lags.lag_name(c, k) for k in range(1, 6)]]]
+    expected = {(r.y, r.x): r.r for r in correlations(fan, names, ["y", "z"]).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        out = lags.lag_correlations(df, ["k"], "ts", ["a", "b"], ["y", "z"], 5)
+        got = {(r.y, r.x): r.r for r in out.collect()}
+        assert "_01h_ago" not in out._jdf.queryExecution().executedPlan().toString().replace("sums", "")
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got.keys() == expected.keys() and all(math.isclose(got[k], expected[k], rel_tol=1e-9) for k in got)
+
+
 def test_fold_search_keeps_what_bags_need(rows):
     scores = fold_search(rows, "fold", "y", {"bags": BaggedAdaBoost("y", ["id"], bags=2, rounds=1, **SMALL)}, keep=["id"])
     assert sorted((r.fold, r.n) for r in scores.collect()) == [(0, 100), (1, 100)]
