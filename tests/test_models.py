@@ -270,6 +270,14 @@ def test_lag_correlations_equal_those_of_lag_columns(spark):
     assert got.keys() == expected.keys() and all(math.isclose(got[k], expected[k], rel_tol=1e-9) for k in got)
 
 
+def test_grid_rows_of_a_task_stay_few(spark):
+    """Observed rows are dealt to more tasks than others, because they become many rows each (one task a partition before)."""
+    from seriesloom.session import spread_by_keys
+
+    df = spark.range(50).withColumn("k", F.col("id"))
+    assert spread_by_keys(df, ["k"]).rdd.getNumPartitions() >= 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_fold_search_keeps_what_bags_need(rows):
     scores = fold_search(rows, "fold", "y", {"bags": BaggedAdaBoost("y", ["id"], bags=2, rounds=1, **SMALL)}, keep=["id"])
     assert sorted((r.fold, r.n) for r in scores.collect()) == [(0, 100), (1, 100)]
