@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from seriesloom.functions.scalars import fold_label
 from seriesloom.models import trees
-from seriesloom.operators import predictions, scoring
+from seriesloom.operators import lags, predictions, scoring
 from seriesloom.plans import forecast, learn
 from seriesloom.plans.spec import PanelSpec
 from seriesloom.session import stage
@@ -123,3 +123,23 @@ def test_stack_and_lag_screening(feats):
     scores = learn.screen_lags(residuals, SPEC, "temp", lambda label: trees.forest(label, numTrees=3, maxDepth=4), 3)
     assert scores.count() == 8
     assert scores.groupBy("segment").agg(F.sum("importance").alias("s")).where("abs(s - 1) > 1e-6").count() == 0
+
+
+def test_lags_of_all_columns_come_from_one_staged_table(feats, monkeypatch):
+    trend = stage(forecast.average_trend(feats, SPEC), "t")
+    counted = feats.where(F.coalesce(*SPEC.segments).isNotNull())
+    joined = stage(learn.with_targets(feats, forecast.residuals(counted, trend, SPEC), SPEC), "j")
+    targets = [f"log_{s}_diff" for s in SPEC.segments]
+    names = [*SPEC.keys, SPEC.ts, "data_set", *SPEC.covariates, *targets]
+    whole = forecast.residuals(feats, trend, SPEC).select(*names)
+    rows = lambda df: sorted((tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()), key=str)
+    assert rows(joined.select(*names)) == rows(whole)
+
+    staged = []
+    monkeypatch.setattr(learn, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    fans = learn.lag_fans(joined, SPEC, SPEC.covariates, 3)
+    for base in SPEC.covariates:
+        own = [base, *[lags.lag_name(base, k) for k in (1, 2, 3)], *targets]
+        alone = lags.lag_fan_out(whole.select(*SPEC.keys, SPEC.ts, "data_set", base, *targets), SPEC.keys, SPEC.ts, base, 3)
+        assert rows(fans.select(*own).na.drop()) == rows(alone.where("data_set = 0").na.drop().select(*own)) != []
+    assert staged == ["lag_fans"]
