@@ -1,10 +1,14 @@
 import datetime as dt
+import random
 
 import pytest
 from helpers import at, column, panel, random_series
 from pyspark.sql import functions as F
 
-from seriesloom.operators import gaps, grid
+from seriesloom.operators import calendar as cal
+from seriesloom.operators import gaps, grid, lags
+from seriesloom.plans import forecast
+from seriesloom.plans.spec import PanelSpec
 
 SERIES = "k string, ts timestamp_ntz, v double"
 
@@ -91,3 +95,45 @@ def test_unknown_mode_is_refused(spark):
     df = panel(spark, [("a", at(0), 1.0)], SERIES)
     with pytest.raises(ValueError):
         gaps.back_fill(df, ["k"], "ts", ["v"], mode="sideways")
+
+
+def _panel_with_gaps(spark):
+    """Hours of some users with gaps of hours and days, missing values, and flags that differ within a day."""
+    rng = random.Random(5)
+    rows = []
+    for user in (1, 2, 3, None):
+        for h in range(24 * 40):
+            if rng.random() < (0.02 if user == 3 else 0.15) and not (user == 2 and 200 < h < 420):
+                stamp = dt.datetime(2024, 1, 3) + dt.timedelta(hours=h)
+                test = stamp.day > 19
+                kind = rng.choice([1, 1, 0, None]) if user == 1 else int(stamp.weekday() < 5)
+                value = lambda: rng.choice([None, rng.random() * 100])
+                count = None if test else rng.randrange(5)
+                rows.append((user, stamp, count, count, count, value(), value(), value(), rng.choice([None, 0, 1]), rng.choice([None, 3, 4]), kind, 0, int(test), 1 if test else None))
+    schema = "user_id long, ts timestamp_ntz, casual long, registered long, count long, temp double, atemp double, windspeed double, weather int, humidity int, workingday int, holiday int, data_set int, submit int"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_features_by_spans_equal_those_of_the_grid(spark):
+    """Asked hours and days get the values of the complete grid, which is not made for them."""
+    spec = PanelSpec(["user_id"], max_missing=23, base_year=2024, overrides={dt.date(2024, 1, 15): {"workingday": 0, "holiday": 1}})
+    tagged = _panel_with_gaps(spark)
+    lagged = spec.lags | {"registered_filled": [24]}
+    hours = forecast.repair(tagged, spec)
+    grid_made = cal.add_date_parts(cal.add_log_targets(hours, spec.counts), "ts", 2024)
+    grid_made = cal.offday_run_length(lags.clock_lag(grid_made, ["user_id"], "ts", lagged), ["user_id"], "ts")
+    asked = forecast.asked_features(tagged, spec, lagged)
+    names = asked.columns
+    key = lambda r: (r["user_id"] is None, r["user_id"] or 0, r["ts"])
+    expected = sorted(forecast.asked_rows(grid_made, spec).select(names).collect(), key=key)
+    assert sorted(asked.collect(), key=key) == expected
+    assert sum(r["temp_24h_ago"] is not None for r in expected) > 100
+    days = forecast.day_features(tagged, spec)
+    assert sorted(days.collect(), key=key) == sorted(grid_made.select(days.columns).collect(), key=key)
+
+
+def test_spans_are_far_fewer_than_hours(spark):
+    tagged = _panel_with_gaps(spark).where("user_id = 3")
+    spread = gaps.spans(gaps.lines(tagged, ["user_id"], "ts", ["temp"], [], ["holiday"], "temp"), ["user_id"], "ts", ["holiday"])
+    hours = gaps.fill_spans(spread, "ts", ["temp"], [])
+    assert spread.count() * 5 < hours.count() == grid.regular_grid(tagged, ["user_id"], "ts").count()
