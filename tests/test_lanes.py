@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from test_grown import data, frame, plain_tree
 
 from queries import grow
+from queries import learn as fitted
 from seriesloom.models import capped, grown, lanes
+from seriesloom.models.adaboost import AdaBoostR2
 from seriesloom.models.grown import Caps, Member
 
 
@@ -169,3 +171,42 @@ def test_draws_of_members_are_those_of_jobs():
     member = Member((0,), 0, 5, ("poisson", 1.0))
     (_, tree), = lanes.forest_trees(rows, [(3, member)], Caps(leaves=4), 1)
     assert tree.rows[0] == (grown.drawn(rows.rid, member) > 0).sum()
+
+
+class _Seen(Exception):
+    pass
+
+
+def _estimators(monkeypatch, query, spark):
+    """What a residual query fits to a label."""
+    made = []
+
+    def predict(inputs, spec, make):
+        made.append(make("y"))
+        raise _Seen
+
+    monkeypatch.setattr(fitted.learn, "predict_residuals", predict)
+    monkeypatch.setattr(fitted, "_inputs", lambda *_: None)
+    with pytest.raises(_Seen):
+        query(spark, "")
+    return made[0]
+
+
+def test_residual_queries_run_at_the_original_settings(spark, monkeypatch):
+    """They ran 20 of 500 rounds, 5 of 20 bags of 10 of 50 rounds, and 30 of 500 rounds before, of trees of depth 4."""
+    limits = {"maxDepth": None, "minSplit": 8, "minInstancesPerNode": 4}
+    ada = _estimators(monkeypatch, fitted.residual_adaboost, spark)
+    assert (ada.rounds, ada.rate, ada.tree_params) == (500, 0.01, limits | {"maxLeaves": 128})
+    bags = _estimators(monkeypatch, fitted.residual_bagged_adaboost, spark)
+    assert (bags.bags, bags.sample, bags.rounds, bags.rate, bags.tree_params) == (20, 0.7, 50, 0.1, limits | {"maxLeaves": 1024})
+    gbt = _estimators(monkeypatch, fitted.residual_gbt, spark)
+    assert gbt.how is capped.boosted and gbt.settings == {"rounds": 500, "rate": 0.01, "part": 0.7, "caps": Caps(leaves=100, depth=10)}
+
+
+def test_adaboost_of_weighted_rows_has_its_leaf_cap(spark):
+    df = rows_and_nulls(spark).withColumn("w", (F.col("c") % 3).cast("double"))
+    model = AdaBoostR2("z", rounds=3, rate=0.5, weight="w", maxLeaves=6, maxDepth=None, minSplit=8, minInstancesPerNode=4).fit(df)
+    assert [t.tree.n_leaves for t in model.trees] == [6, 6, 6] and all(t.tree.rows[t.tree.feature < 0].min() >= 4 for t in model.trees)
+    assert model.trees[0].tree.rows[0] == df.where("w > 0").count()
+    with pytest.raises(TypeError):
+        AdaBoostR2("z", rounds=1, maxBins=4).fit(df)
