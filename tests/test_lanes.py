@@ -210,3 +210,50 @@ def test_adaboost_of_weighted_rows_has_its_leaf_cap(spark):
     assert model.trees[0].tree.rows[0] == df.where("w > 0").count()
     with pytest.raises(TypeError):
         AdaBoostR2("z", rounds=1, maxBins=4).fit(df)
+
+
+def test_stacks_combine_whole_models(spark, monkeypatch):
+    """They combined 10 trees of boosting, 10 of a forest and 2 bags of 6 rounds before; the stack had 20 of 1,000 trees."""
+    gb, rf, ada = (fitted.BASES[name]("y") for name in ("gb", "rf", "ada"))
+    assert gb.how is capped.boosted and gb.settings == capped.BOOSTED and gb.settings["rounds"] == 500
+    assert rf.how is capped.forest and rf.settings == capped.FOREST and rf.settings["trees"] == 500
+    assert (ada.bags, ada.rounds, ada.tree_params["maxLeaves"], ada.keys) == (20, 50, 1024, ["user_id", "ts"])
+    made = []
+    monkeypatch.setattr(fitted, "_tree_stack", lambda spark, sf_dir, make: made.append(make("y")))
+    fitted.stack_forest(spark, "")
+    assert made[0].how is capped.forest and made[0].settings == {"trees": 1000, "caps": Caps(leaves=2**14, depth=20, split=4, leaf=2)}
+
+
+def test_a_row_is_scored_by_the_models_of_its_fold_only(spark):
+    """All models of a label scored every row in one chain before."""
+    from test_end_to_end import SPEC as spec
+
+    seen = []
+
+    class Model:
+        def __init__(self, label, value):
+            self.label, self.value = label, value
+
+        def transform(self, df):
+            seen.append((self.value, df.select("id").orderBy("id").collect()))
+            return df.withColumn("prediction", F.lit(float(self.value)))
+
+    class Fit:
+        def __init__(self, label):
+            self.label = label
+
+        def fit(self, df):
+            return Model(self.label, df.count())
+
+    n, on = 12, [*spec.keys, spec.ts]
+    rows = spark.range(n).select("id", *(F.col("id").cast("string").alias(c) for c in on), F.when(F.col("id") < 9, 0).otherwise(1).alias("data_set"))
+    rows = rows.withColumns({c: F.lit(1.0) for c in spec.hourly_features} | {f"log_{s}_{e}": F.lit(2.0) for s in spec.segments for e in ("diff", "trend")})
+    from seriesloom.plans import learn
+
+    fold = F.when(F.col("id") % 4 == 3, F.lit(None)).otherwise((F.col("id") % 4 - 1).cast("int"))  # -1, 0, 1 and none
+    out = learn.out_of_fold(rows, spec, Fit, fold, [0, 1], "m").select(*on, *(f"log_{s}_m_pred" for s in spec.segments))
+    got = {int(r[0]): r[-1] for r in out.collect()}
+    held = {0: [1, 5], 1: [2, 6]}
+    expected = {i: 2.0 + (9 - len(held[0]) if i in held[0] else 9 - len(held[1]) if i in held[1] else 9) for i in range(n)}
+    assert got == expected
+    assert sorted(len(ids) for _, ids in seen) == sorted([8, 2, 2] * len(spec.segments))
