@@ -7,7 +7,7 @@ from test_grown import data, frame, plain_tree
 
 from queries import grow
 from queries import learn as fitted
-from seriesloom.models import capped, grown, lanes
+from seriesloom.models import capped, grown, lanes, trees
 from seriesloom.models.adaboost import AdaBoostR2
 from seriesloom.models.grown import Caps, Member
 
@@ -47,6 +47,24 @@ def test_fits_in_tasks_equal_those_of_jobs(spark, monkeypatch, name):
     assert np.allclose(predicted(ours, df), predicted(jobs, df))
 
 
+def test_trees_of_tasks_are_those_of_jobs_to_the_last_bit(spark, monkeypatch):
+    """Of values that leave rounding to decide between equal splits."""
+    x, y = data(12, 900)
+    df = frame(spark, x, y + np.random.default_rng(12).normal(size=y.shape)).withColumn("flat", F.lit(3.0)).drop("features")
+    df = trees.assemble(df.withColumn("twin", -F.col("a")), ["flat", "a", "twin", "b", "c"]).cache()
+    fits = {
+        "forest": lambda: capped.forest(df, ["id"], ["y"], 4, Caps(leaves=60, split=8, leaf=4)),
+        "boosted": lambda: capped.boosted(df, ["id"], ["y"], 8, 0.1, Caps(leaves=40, depth=10), part=0.7),
+    }
+    for fit in fits.values():
+        (ours,) = fit()
+        with monkeypatch.context() as m:
+            m.setattr(lanes, "IN_TASK", 0)
+            (jobs,) = fit()
+        for a, b in zip(ours.trees, jobs.trees):
+            assert all((getattr(a, n) == getattr(b, n)).all() for n in ("feature", "bin", "left", "right", "value", "gain", "rows"))
+
+
 def test_rounds_in_tasks_need_no_job_each(spark):
     """Each round ran some jobs before: 500 rounds were some 2,500."""
     df, sc, caps = rows_and_nulls(spark), spark.sparkContext, Caps(leaves=6)
